@@ -79,24 +79,34 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
 
 # -- classification ----------------------------------------------------------------------
 
-def confusion(df: DataFrame, label: str, prediction: str, labels: Sequence) -> DataFrame:
-    """``(row, col, truth, predicted, n)`` in the order of ``labels``; rows are the truth.
+def confusion(df: DataFrame, label: str, prediction: str, labels: Sequence,
+              by: str | None = None, by_values: Sequence = ()) -> DataFrame:
+    """``(by, row, col, truth, predicted, n)`` in the order of ``labels``; rows are the truth.
 
-    Cells nobody fell into are there with 0; values outside ``labels`` are not counted.
+    Cells nobody fell into are there with 0; values outside ``labels`` are not counted. With
+    ``by`` there is a matrix for each of ``by_values``, all from one pass.
     """
     known = list(labels)
+    kind = dict(df.dtypes)
+    group = [by] if by else []
     counts = (df.where(F.col(label).isin(known) & F.col(prediction).isin(known))
-              .groupBy(F.col(label).alias("truth"), F.col(prediction).alias("predicted"))
+              .groupBy(*group, F.col(label).alias("truth"), F.col(prediction).alias("predicted"))
               .agg(F.count("*").alias("n")))
     axis = F.array(*[F.lit(v) for v in known])
-    kind = dict(df.dtypes)
-    grid = (df.sparkSession.range(1)
-            .select(F.posexplode(axis).alias("row", "truth"))
-            .select("row", F.col("truth").cast(kind[label]), F.posexplode(axis).alias("col", "predicted"))
+    grid = df.sparkSession.range(1)
+    if by:
+        grid = (grid.select(F.explode(F.array(*[F.lit(v) for v in by_values])).alias(by))
+                .withColumn(by, F.col(by).cast(kind[by])))
+    grid = (grid.select(*group, F.posexplode(axis).alias("row", "truth"))
+            .select(*group, "row", "truth", F.posexplode(axis).alias("col", "predicted"))
+            .withColumn("truth", F.col("truth").cast(kind[label]))
             .withColumn("predicted", F.col("predicted").cast(kind[prediction])))
-    # both sides have at most len(labels) ** 2 rows
-    return (grid.join(F.broadcast(counts), ["truth", "predicted"], "left")
-            .select("row", "col", "truth", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    if by:
+        counts = counts.where(F.col(by).isin(list(by_values)))
+    # both sides have at most one row per cell
+    return (grid.join(F.broadcast(counts), [*group, "truth", "predicted"], "left")
+            .select(*group, "row", "col", "truth", "predicted",
+                    F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
 def weighted_precision_recall(df: DataFrame, label: str, prediction: str, digits: int = 5) -> DataFrame:

@@ -40,7 +40,8 @@ def run_table(log: DataFrame, names: Sequence[str]) -> DataFrame:
 def transposed(table: DataFrame, runs: Sequence[str]) -> DataFrame:
     """The run table turned: one row per name, one column per run."""
     names = [c for c in table.columns if c != "run"]
-    return (table.unpivot(["run"], names, "name", "value")
+    quoted = [f"`{n}`" for n in names]  # the names hold dots
+    return (table.unpivot(["run"], quoted, "name", "value")
             .groupBy("name").pivot("run", list(runs)).agg(F.first("value")))
 
 
@@ -81,8 +82,11 @@ def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 1000) -> Da
     raise ValueError(f"lineage deeper than {max_rounds}")
 
 
-def snapshot(spark: SparkSession, sql: str, prefix: str = "snapshot") -> str:
+def snapshot(spark: SparkSession, sql: str, prefix: str = "snapshot", folder: str | None = None) -> str:
     """Store the result of a SQL text as a table of a new name, and return the name."""
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    spark.sql(sql).write.mode("errorifexists").saveAsTable(name)
+    writer = spark.sql(sql).write.mode("errorifexists")
+    if folder:
+        writer = writer.option("path", f"{folder}/{name}")
+    writer.saveAsTable(name)
     return name

@@ -38,12 +38,8 @@ def fraud_flow(spark, sf):
     z = feat.standardize(marked, ["l_quantity", "l_discount"], marked.where("split = 'TRAIN'"))
     rule = clean.clip("l_quantity") + clean.clip("l_discount") > 1.5
     said = z.select("split", "label", rule.cast("int").alias("predicted"))
-    parts = None
-    for part in ("TRAIN", "VALIDATE", "TEST"):
-        cells = evaluate.confusion(said.where(F.col("split") == part), "label", "predicted", [0, 1])
-        cells = cells.select(F.lit(part).alias("split"), "truth", "predicted", "n")
-        parts = cells if parts is None else parts.unionByName(cells)
-    return parts
+    return evaluate.confusion(said, "label", "predicted", [0, 1], "split", ["TRAIN", "VALIDATE", "TEST"]).drop(
+        "row", "col")
 
 
 # -- classification ---------------------------------------------------------------------------

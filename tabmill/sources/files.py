@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
-def load_csv_table(spark: SparkSession, path: str, schema: T.StructType, table: str) -> None:
+def load_csv_table(spark: SparkSession, path: str, schema: T.StructType, table: str,
+                   folder: str | None = None) -> None:
     """CSV with a header into a table of declared types (decimals included), replacing it."""
-    (spark.read.schema(schema).option("header", True).csv(path)
-     .write.mode("overwrite").saveAsTable(table))
+    writer = spark.read.schema(schema).option("header", True).csv(path).write.mode("overwrite")
+    if folder:
+        writer = writer.option("path", folder)
+    writer.saveAsTable(table)
 
 
 def spaced_fields(lines: DataFrame, schema: T.StructType, null: str = "?") -> DataFrame:
@@ -25,9 +28,9 @@ def read_spaced(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spaced_fields(spark.read.text(path), schema)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """No header, names from the schema."""
-    return spark.read.schema(schema).option("sep", "\t").csv(path)
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, quote: str = '"') -> DataFrame:
+    """No header, names from the schema; an empty ``quote`` takes quotes as they are."""
+    return spark.read.schema(schema).option("sep", "\t").option("quote", quote).csv(path)
 
 
 def parse_predictions(lines: DataFrame, instance: T.StructType) -> DataFrame:

@@ -67,7 +67,7 @@ def _rows_of(o: Column, names: list[str], positions: list[str]) -> Column:
     as_list = lambda c: F.from_json(c, T.ArrayType(T.StringType()))
     dense = F.coalesce(*[o[p] for p in POSITIONAL])
     parallel = F.arrays_zip(*[as_list(o[n]).alias(n) for n in names])
-    several = F.transform(parallel, lambda z: F.array(*[_number(z[str(i)]) for i in range(len(names))]))
+    several = F.transform(parallel, lambda z: F.array(*[_number(z[n]) for n in names]))
     single = F.array(F.array(*[_number(o[n]) for n in names]))
     return (F.when(dense.isNotNull(), F.array(_placed(as_list(dense), names, positions)))
             .when(o[names[0]].startswith("["), several)
