@@ -7,7 +7,8 @@ shuffled. Running totals use a range-partitioned sort plus one offset per partit
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -92,32 +93,67 @@ def running_totals(df: DataFrame, order: Sequence[Column | str], totals: dict[st
         *[(F.sum(f"_one_{n}").over(inner) + F.col(f"_before_{n}")).alias(n) for n in totals])
 
 
-def exact_quantiles(long: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles of a long frame ``(group, value)``: ``(group, prob, quantile)``.
+BINS = 1024
 
-    Values are counted first, so a value held by a third of the rows is one row in the sort.
-    No group is gathered in one task.
+
+def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+    """Exact values at 0-based ranks of numeric columns, nulls left out: ``{(col, rank): value}``.
+
+    No value is shuffled or sorted. A pass counts the rows of the interval around a rank in
+    ``BINS`` bins, map-side, and the next one goes on with the values of the one bin that holds
+    the rank, until they are all equal. A few passes over the pruned columns are usual.
     """
-    counted = (long.where(F.col(value).isNotNull()).groupBy(group, value)
-               .agg(F.count("*").alias("_n")))
-    placed = running_totals(counted, [value], {"_end": "_n"}, within=[group])
-    sizes = placed.groupBy(group).agg(F.max("_end").alias("_total"))
-    ranks = sizes.select(group, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-                         .alias("prob"))
-    spot = (F.col("_total") - 1) * F.col("prob")
-    ranks = ranks.select(group, "prob", F.floor(spot).alias("_lo"), F.ceil(spot).alias("_hi"),
-                         (spot - F.floor(spot)).alias("_part"))
-    # one row per group and probability
-    near = placed.join(F.broadcast(ranks), group)
-    start = F.col("_end") - F.col("_n")
-    holds = lambda k: (F.col(k) >= start) & (F.col(k) < F.col("_end"))
-    picked = (near.where(holds("_lo") | holds("_hi"))
-              .groupBy(group, "prob", "_part")
-              .agg(F.max(F.when(holds("_lo"), F.col(value))).alias("_low"),
-                   F.max(F.when(holds("_hi"), F.col(value))).alias("_high")))
-    return picked.select(
-        group, "prob",
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("quantile"))
+    ends = df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in ranks]).first()
+    # (column, rank) -> smallest and largest value of its interval, rows below the interval
+    spans = {(c, k): (ends[c]["lo"], ends[c]["hi"], 0) for c in ranks for k in ranks[c]}
+    while True:
+        unsettled = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in spans.items() if lo != hi})
+        if not unsettled:
+            return {target: lo for target, (lo, _, _) in spans.items()}
+        bins = _count_bins(df, unsettled)
+        for target, (lo, hi, below) in spans.items():
+            for n, first, last in bins.get((target[0], lo, hi), ()):
+                if target[1] < below + n:
+                    spans[target] = (first, last, below)
+                    break
+                below += n
+
+
+def _count_bins(df: DataFrame, spans: Sequence[tuple]) -> dict[tuple, list[tuple]]:
+    """Per span ``(column, lo, hi)`` its filled bins in order: (rows, smallest, largest value)."""
+    kinds = dict(df.dtypes)
+    out: dict[tuple, list[tuple]] = {}
+    for kind in sorted({kinds[c] for c, _, _ in spans}):
+        own = [s for s in spans if kinds[s[0]] == kind]
+        marks = []
+        for i, (c, lo, hi) in enumerate(own):
+            x = F.col(c)
+            share = (x - F.lit(lo)) / F.lit(hi - lo)
+            step = F.least(F.floor(share.cast("double") * BINS), F.lit(BINS - 1)).cast("int")
+            marks.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
+                                F.struct(F.lit(i).alias("span"), step.alias("bin"), x.alias("x"))))
+        counted = (df.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
+                   .groupBy("m.span", "m.bin")
+                   .agg(F.count("*").alias("n"), F.min("m.x").alias("first"), F.max("m.x").alias("last")))
+        # at most BINS rows per span
+        for r in sorted(counted.collect(), key=lambda r: (r["span"], r["bin"])):
+            out.setdefault(own[r["span"]], []).append((r["n"], r["first"], r["last"]))
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of numeric columns, exactly; None for an empty column."""
+    sizes = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    spots = {c: [(sizes[c] - 1) * p for p in probs] for c in cols if sizes[c]}
+    ranks = {c: sorted({k for s in at for k in (math.floor(s), math.ceil(s))}) for c, at in spots.items()}
+    values = order_statistics(df, ranks) if ranks else {}
+    out: dict[str, list[float | None]] = {}
+    for c in cols:
+        out[c] = [None] * len(probs)
+        for i, s in enumerate(spots.get(c, ())):
+            low, high = values[c, math.floor(s)], values[c, math.ceil(s)]
+            out[c][i] = float(low) + (float(high) - float(low)) * (s - math.floor(s))
+    return out
 
 
 def _expr(e: Column | str) -> Column:

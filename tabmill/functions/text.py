@@ -9,8 +9,8 @@ from pyspark.sql import Column, functions as F
 # Fixed value: the 32 ASCII punctuation characters.
 PUNCTUATION = string.punctuation
 
-# Fixed value: a word is two or more word characters, in any script.
-WORD = r"(?U)\w\w+"
+# Fixed value: a word is two or more letters, digits or underscores, in any script.
+WORD = r"[\p{L}\p{N}_]{2,}"
 
 
 def plain(text: Column | str) -> Column:

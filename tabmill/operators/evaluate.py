@@ -188,16 +188,13 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None,
             probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Per column: count, mean, sample deviation, min, exact interpolated quartiles, max."""
     cols = columns_of(df, NUMERIC) if cols is None else list(cols)
-    each = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols]
-    long = df.select(F.explode(F.array(*each)).alias("s")).select("s.feature", "s.x")
-    basic = long.groupBy("feature").agg(
-        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"))
-    q = exact_quantiles(long, "feature", "x", probs)
-    wide = q.groupBy("feature").agg(*[
-        F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(f"p{round(p * 100)}")
-        for p in probs])
-    return basic.join(wide, "feature", "left")
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    quartiles = exact_quantiles(df, cols, probs)
+    wide = df.agg(*[F.struct(
+        F.lit(c).alias("feature"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+        F.min(c).alias("min"), *[F.lit(q).cast("double").alias(f"p{round(p * 100)}") for p, q in zip(probs, quartiles[c])],
+        F.max(c).alias("max")).alias(f"s{i}") for i, c in enumerate(cols)])
+    return wide.select(F.inline(F.array(*[f"s{i}" for i in range(len(cols))])))
 
 
 def feature_importance(model, names: Sequence[str], spark) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import keyword_only
@@ -103,17 +104,18 @@ def standardize(df: DataFrame, cols: Sequence[str], fitted_on: DataFrame | None
                 deviation: str = "population", suffix: str = "") -> DataFrame:
     """(x - mean) / deviation with the statistics of ``fitted_on``; no deviation gives 0.
 
-    ``population`` and ``sample`` are the two flavours in use. The statistics enter the plan
-    as a scalar subquery: no join, no job before the query runs.
+    ``population`` and ``sample`` are the two flavours in use. The fit is one pass for all columns
+    and gives two numbers per column, which go into the plan as constants: no join.
     """
-    stats = scale_stats(df if fitted_on is None else fitted_on, cols, deviation).scalar()
+    stats = scale_stats(df if fitted_on is None else fitted_on, cols, deviation).first()["stats"]
     return df.withColumns({
-        c + suffix: z_score(F.col(c), stats[c]["mean"], stats[c]["std"]) for c in cols})
+        c + suffix: scaled_by(F.col(c), stats[c]["mean"], stats[c]["std"]) for c in cols})
 
 
-def z_score(x: Column, mean: Column, std: Column) -> Column:
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.when(std > 0, (x - mean) / F.when(std > 0, std)).otherwise(F.lit(0.0)))
+def scaled_by(x: Column, mean: float | None, std: float | None) -> Column:
+    if not std or math.isnan(std):
+        return F.when(x.isNotNull(), F.lit(0.0))
+    return (x - F.lit(float(mean))) / F.lit(float(std))
 
 
 class _ScalerParams(HasInputCols, HasOutputCols):
@@ -143,35 +145,45 @@ class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, Default
     def _transform(self, dataset: DataFrame) -> DataFrame:
         mean, std = self.getOrDefault(self.means), self.getOrDefault(self.stds)
         return dataset.withColumns({
-            out: z_score(F.col(c), F.lit(m), F.lit(s))
+            out: scaled_by(F.col(c), m, s)
             for c, out, m, s in zip(self.getInputCols(), self.getOutputCols(), mean, std)})
 
 
 # -- text -------------------------------------------------------------------------------
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, term, n)`` over whole texts."""
-    return (df.select(key, F.explode(words_of.words(text)).alias("term"))
-            .groupBy(key, "term").agg(F.count("*").alias("n")))
+def term_counts(df: DataFrame, key: str, text: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(key, keep..., term, n)`` over whole texts; ``keep`` are columns of the same row.
+
+    The texts are placed by key before they are taken apart: a text is smaller than its words,
+    and neither the counting nor a later step per document has to move them again.
+    """
+    return (df.select(key, *keep, text).repartition(key)
+            .select(key, *keep, F.explode(words_of.words(text)).alias("term"))
+            .groupBy(key, *keep, "term").agg(F.count("*").alias("n")))
 
 
-def inverse_frequency(counts: DataFrame, key: str, documents: int | Column) -> DataFrame:
-    """``(term, df, idf)`` with idf = ln((1 + n) / (1 + df)) + 1."""
-    size = documents if isinstance(documents, Column) else F.lit(documents)
-    per_term = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return per_term.withColumn("idf", F.ln((1 + size) / (1 + F.col("df"))) + 1)
+def inverse_frequency(df: DataFrame, text: str) -> DataFrame:
+    """``(term, df, idf)`` with idf = ln((1 + n) / (1 + df)) + 1, one document per row.
+
+    A document gives each of its words once, so counting needs no (document, word) shuffle.
+    """
+    documents = df.count()
+    once = df.select(F.explode(F.array_distinct(words_of.words(text))).alias("term"))
+    per_term = once.groupBy("term").agg(F.count("*").alias("df"))
+    return per_term.withColumn("idf", F.ln((1 + documents) / (1 + F.col("df"))) + 1)
 
 
-def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """L2-normalised tf * idf per document: ``(key, term, weight)``.
+def tfidf(counts: DataFrame, idf: DataFrame, key: str, written: bool = False) -> DataFrame:
+    """L2-normalised tf * idf per document: ``(counts without n, weight)``.
 
     A term in most documents is a hot join key; ``lookup`` broadcasts the table or salts it.
     """
-    raw = lookup(counts, idf.select("term", "idf"), ["term"], how="inner")
+    raw = lookup(counts, idf.select("term", "idf"), ["term"], how="inner", written=written)
     raw = raw.withColumn("_w", F.col("n") * F.col("idf"))
     # one document is a bounded group: its distinct words
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("_w") / norm).alias("weight"))
+    rest = [c for c in counts.columns if c != "n"]
+    return raw.select(*rest, (F.col("_w") / norm).alias("weight"))
 
 
 # -- classes ----------------------------------------------------------------------------

@@ -64,7 +64,7 @@ def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 1000) -> Da
     made = F.col("direction") == "output"
     parents = cut(edges.select(
         F.when(made, F.col("artifact")).otherwise(F.col("execution")).alias("node"),
-        F.when(made, F.col("execution")).otherwise(F.col("artifact")).alias("parent")).distinct())
+        F.when(made, F.col("execution")).otherwise(F.col("artifact")).alias("parent")))
     frontier = targets.select("node").distinct()
     seen = cut(frontier.withColumn("depth", F.lit(0)))
     frontier = seen.select("node")

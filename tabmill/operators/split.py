@@ -8,12 +8,13 @@ the rows in one map-only pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabmill.functions import hashing
-from tabmill.functions.order import hash_cutoffs, running_totals
+from tabmill.functions.order import hash_cutoffs, order_statistics
 
 Keys = Sequence[str]
 
@@ -51,19 +52,21 @@ def exact_split(df: DataFrame, names: Sequence[str], key: Keys, shares: Sequence
     by = list(by)
     spot = hashing.digest(*key, seed=seed)
     cuts = hash_cutoffs(df, spot, shares=shares, counts=counts, by=by)
+    if not by:
+        # one row per cut: known values make the labelling a plain map over the rows
+        ends = {r["cut"]: r["cutoff"] for r in cuts.collect()}
+        return df.withColumn(out, _part([F.lit(ends.get(i, "")) for i in range(len(names) - 1)], spot, names))
     # one short array per class: as many entries as there are cuts
-    ends = cuts.groupBy(*by).agg(
+    per_class = cuts.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("cut", "cutoff"))).alias("_cuts"))
-    if by:
-        return (df.join(ends, by).withColumn(out, _part(F.col("_cuts"), spot, names))
-                .drop("_cuts"))
-    return df.withColumn(out, _part(ends.scalar(), spot, names))
+    ends = [F.col("_cuts")[i]["cutoff"] for i in range(len(names) - 1)]
+    return df.join(per_class, by).withColumn(out, _part(ends, spot, names)).drop("_cuts")
 
 
-def _part(cuts: Column, spot: Column, names: Sequence[str]) -> Column:
+def _part(ends: Sequence[Column], spot: Column, names: Sequence[str]) -> Column:
     label = None
-    for i, name in enumerate(names[:-1]):
-        inside = spot <= cuts[i]["cutoff"]
+    for end, name in zip(ends, names):
+        inside = spot <= end
         label = F.when(inside, name) if label is None else label.when(inside, name)
     return label.otherwise(names[-1])
 
@@ -109,18 +112,14 @@ def chronological(df: DataFrame, time: str, shares: Sequence[float] = (0.8, 0.9)
                   names: Sequence[str] = ("train", "validate", "test"),
                   out: str = "split") -> DataFrame:
     """Oldest rows first; rows of one time stay together, with the first of them."""
-    per_time = df.groupBy(time).agg(F.count("*").alias("_n"))
-    placed = running_totals(per_time, [time], {"_end": "_n"})
-    sized = placed.withColumn("_size", placed.agg(F.max("_end")).scalar())
-    start = F.col("_end") - F.col("_n")
-    # the newest time whose first row is still inside each cut
-    ends = sized.agg(*[
-        F.max(F.when(start < F.floor(F.col("_size") * F.lit(s) + F.lit(1e-9)), F.col(time))).alias(f"t{i}")
-        for i, s in enumerate(shares)])
-    ends = ends.select(F.struct("*").alias("ends")).scalar()
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    timed = df.select(micros.alias("t")).where("t is not null")
+    size = timed.count()
+    last = [math.floor(size * s + 1e-9) - 1 for s in shares]  # rank of the last row of each part
+    ends = order_statistics(timed, {"t": sorted({k for k in last if k >= 0})}) if size else {}
     label = None
-    for i, name in enumerate(names[:-1]):
-        inside = F.col(time) <= ends[f"t{i}"]
+    for k, name in zip(last, names):
+        inside = micros <= F.lit(ends["t", k]) if k >= 0 else F.lit(False)
         label = F.when(inside, name) if label is None else label.when(inside, name)
     return df.withColumn(out, label.otherwise(names[-1]))
 

@@ -171,9 +171,8 @@ def fit_text_classes(df: DataFrame, key: str, text: str, label: str, alpha: floa
     per_class = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
     classes = [c for c, _ in per_class]
     documents = sum(n for _, n in per_class)
-    counts = cut(feat.term_counts(df, key, text))
-    idf = cut(feat.inverse_frequency(counts, key, documents))
-    weights = feat.tfidf(counts, idf, key).join(df.select(key, label), key)
+    idf = cut(feat.inverse_frequency(df, text))
+    weights = feat.tfidf(feat.term_counts(df, key, text, [label]), idf, key, written=True)
     sums = cut(weights.groupBy("term").agg(*[
         F.sum(F.when(F.col(label) == F.lit(c), F.col("weight")).otherwise(0.0)).alias(f"s{i}")
         for i, c in enumerate(classes)]))
@@ -186,7 +185,7 @@ def fit_text_classes(df: DataFrame, key: str, text: str, label: str, alpha: floa
 
 def score_text_classes(model: TextClasses, df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, prediction)``; a text without a known word goes by the priors."""
-    weights = feat.tfidf(feat.term_counts(df, key, text), model.idf, key)
+    weights = feat.tfidf(feat.term_counts(df, key, text), model.idf, key, written=True)
     joined = lookup(weights, model.terms, ["term"], how="inner")
     n = range(len(model.classes))
     sums = joined.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(f"l{i}")).alias(f"l{i}") for i in n])

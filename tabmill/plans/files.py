@@ -155,7 +155,7 @@ def instance_lines(spark, sf):
     for i, shape in enumerate(shapes):
         hit = F.col("o_orderkey") % len(shapes) == i
         chain = F.when(hit, text(shape)) if chain is None else chain.when(hit, text(shape))
-    return table(spark, sf, "orders").select("o_orderkey", chain.alias("value"))
+    return table(spark, sf, "orders", ["o_orderkey"]).select("o_orderkey", chain.alias("value"))
 
 
 @query(f"""

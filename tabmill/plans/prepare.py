@@ -71,7 +71,7 @@ select doc_id, md5(translate(lower(text), '{_quoted_punctuation}', '')) as text_
 from documents""")
 def clean_text(spark, sf):
     text = plain("text")
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", ["doc_id"]).select(
         "doc_id", F.md5(text).alias("text_md5"), F.length(text).cast("long").alias("n_chars"))
 
 
@@ -297,7 +297,7 @@ select doc_id, w as term, count(*) as n
 from (select doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) as w from documents)
 group by doc_id, w""")
 def term_counts(spark, sf):
-    return feat.term_counts(table(spark, sf, "documents"), "doc_id", "text")
+    return feat.term_counts(table(spark, sf, "documents", ["doc_id"]), "doc_id", "text")
 
 
 SQL_TFIDF = """
@@ -311,9 +311,9 @@ t as (select doc_id, term, w / sqrt(sum(w * w) over (partition by doc_id)) as we
 
 @query(f"with {SQL_TFIDF} select doc_id, term, round(weight, 6) as weight from t")
 def tfidf(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = table(spark, sf, "documents", ["doc_id"]).select("doc_id", "text")
     counts = feat.term_counts(docs, "doc_id", "text")
-    idf = feat.inverse_frequency(counts, "doc_id", docs.agg(F.count("*")).scalar())
+    idf = feat.inverse_frequency(docs, "text")
     return feat.tfidf(counts, idf, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
