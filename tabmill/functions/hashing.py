@@ -35,10 +35,18 @@ def fast_bucket(n: int, *cols: Column | str, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[_col(c) for c in cols]), F.lit(n).cast("long"))
 
 
+def below(text: Column, fraction: float) -> Column:
+    """True if a digest lies in the first ``fraction`` of the hash range.
+
+    Hex digits sort like the numbers they stand for, so the texts are compared as they are.
+    """
+    limit = round(fraction * HASH_RANGE)
+    return text < F.lit(f"{limit:08x}" if limit < HASH_RANGE else "g")
+
+
 def in_fraction(fraction: float, *cols: Column | str, seed: str = "") -> Column:
     """True for about ``fraction`` of all keys, always the same ones."""
-    limit = round(fraction * HASH_RANGE)
-    return hash_int(digest(*cols, seed=seed)) < F.lit(limit).cast("long")
+    return below(digest(*cols, seed=seed), fraction)
 
 
 def content(df: DataFrame, cols: list[str] | None = None, scale: int = 2) -> list[Column]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tabmill.session import cut
 
@@ -74,8 +74,10 @@ def running_totals(df: DataFrame, order: Sequence[Column | str], totals: dict[st
     """
     within = list(within)
     sized = df.select("*", *[_expr(e).alias(f"_one_{n}") for n, e in totals.items()])
-    flat = cut(sized.orderBy(*within, *order)).withColumn("_slot", F.monotonically_increasing_id())
-    flat = flat.withColumn("_part", F.shiftright("_slot", 33))
+    # partition and place in it, written with the rows
+    slot = F.monotonically_increasing_id()
+    flat = cut(sized.orderBy(*within, *order).withColumn("_slot", slot)
+               .withColumn("_part", F.shiftright("_slot", 33)))
     part_sums = flat.groupBy(*within, "_part").agg(
         *[F.sum(f"_one_{n}").alias(f"_sum_{n}") for n in totals])
     earlier = (Window.partitionBy(*within).orderBy("_part")
@@ -96,14 +98,16 @@ def running_totals(df: DataFrame, order: Sequence[Column | str], totals: dict[st
 BINS = 1024
 
 
-def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]],
+                     ends: Row | None = None) -> dict[tuple[str, int], float]:
     """Exact values at 0-based ranks of numeric columns, nulls left out: ``{(col, rank): value}``.
 
     No value is shuffled or sorted. A pass counts the rows of the interval around a rank in
     ``BINS`` bins, map-side, and the next one goes on with the values of the one bin that holds
     the rank, until they are all equal. A few passes over the pruned columns are usual.
+    ``ends`` is the row of ``sizes`` if it is known already.
     """
-    ends = df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in ranks]).first()
+    ends = ends or sizes(df, list(ranks))
     # (column, rank) -> smallest and largest value of its interval, rows below the interval
     spans = {(c, k): (ends[c]["lo"], ends[c]["hi"], 0) for c in ranks for k in ranks[c]}
     while True:
@@ -119,6 +123,12 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[
                 below += n
 
 
+def sizes(df: DataFrame, cols: Sequence[str]) -> Row:
+    """Smallest value, largest value and number of values of each column, in one pass."""
+    return df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n")).alias(c)
+                    for c in cols]).first()
+
+
 def _count_bins(df: DataFrame, spans: Sequence[tuple]) -> dict[tuple, list[tuple]]:
     """Per span ``(column, lo, hi)`` its filled bins in order: (rows, smallest, largest value)."""
     kinds = dict(df.dtypes)
@@ -143,10 +153,10 @@ def _count_bins(df: DataFrame, spans: Sequence[tuple]) -> dict[tuple, list[tuple
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of numeric columns, exactly; None for an empty column."""
-    sizes = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    spots = {c: [(sizes[c] - 1) * p for p in probs] for c in cols if sizes[c]}
+    ends = sizes(df, cols)
+    spots = {c: [(ends[c]["n"] - 1) * p for p in probs] for c in cols if ends[c]["n"]}
     ranks = {c: sorted({k for s in at for k in (math.floor(s), math.ceil(s))}) for c, at in spots.items()}
-    values = order_statistics(df, ranks) if ranks else {}
+    values = order_statistics(df, ranks, ends)
     out: dict[str, list[float | None]] = {}
     for c in cols:
         out[c] = [None] * len(probs)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabmill.functions import hashing
-from tabmill.functions.order import hash_cutoffs, order_statistics
+from tabmill.functions.order import hash_cutoffs, order_statistics, sizes
 
 Keys = Sequence[str]
 
@@ -99,11 +99,11 @@ def fractions(df: DataFrame, key: Keys, shares: Sequence[float] = (0.8, 0.1, 0.1
               names: Sequence[str] = ("train", "validate", "test"), seed: str = "2",
               out: str = "split") -> DataFrame:
     """Shares in expectation, decided row by row."""
-    spot = hashing.hash_int(hashing.digest(*key, seed=seed))
+    spot = hashing.digest(*key, seed=seed)
     label, end = None, 0.0
     for share, name in zip(shares[:-1], names[:-1]):
         end += share
-        inside = spot < F.lit(round(end * hashing.HASH_RANGE)).cast("long")
+        inside = hashing.below(spot, end)
         label = F.when(inside, name) if label is None else label.when(inside, name)
     return df.withColumn(out, label.otherwise(names[-1]))
 
@@ -114,9 +114,9 @@ def chronological(df: DataFrame, time: str, shares: Sequence[float] = (0.8, 0.9)
     """Oldest rows first; rows of one time stay together, with the first of them."""
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     timed = df.select(micros.alias("t")).where("t is not null")
-    size = timed.count()
-    last = [math.floor(size * s + 1e-9) - 1 for s in shares]  # rank of the last row of each part
-    ends = order_statistics(timed, {"t": sorted({k for k in last if k >= 0})}) if size else {}
+    whole = sizes(timed, ["t"])
+    last = [math.floor(whole["t"]["n"] * s + 1e-9) - 1 for s in shares]  # rank of each part's last row
+    ends = order_statistics(timed, {"t": sorted({k for k in last if k >= 0})}, whole)
     label = None
     for k, name in zip(last, names):
         inside = micros <= F.lit(ends["t", k]) if k >= 0 else F.lit(False)

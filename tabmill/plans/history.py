@@ -9,13 +9,18 @@ from pyspark.sql import functions as F, types as T
 from tabmill.operators import feature_store as store
 from tabmill.plans.registry import query, sql_cents, table
 
-K = F.get_json_object("props", "$.k").cast("int")
+
+def k_of():
+    """The number in an event's properties."""
+    return F.get_json_object("props", "$.k").cast("int")
+
+
 SQL_K = "cast(json_extract_string(props, '$.k') as integer)"
 
 
 def event_history(spark, sf, kinds=None):
     """Events as feature history per user."""
-    events = table(spark, sf, "events").withColumn("k", K)
+    events = table(spark, sf, "events").withColumn("k", k_of())
     if kinds:
         events = events.where(F.col("event_type").isin(kinds))
     return store.ingest(events, "user_id", {"value": ("value", "double"), "k": ("k", "int"),
@@ -26,7 +31,7 @@ def event_history(spark, sf, kinds=None):
 with s as (select event_id, case when {SQL_K} % 10 = 0 then {SQL_K} || 'x' else '' || {SQL_K} end as k from events)
 select event_id, try_cast(k as smallint) as k, case when try_cast(k as smallint) is null then 'k' else '' end as faults from s""")
 def conform(spark, sf):
-    text = F.when(K % 10 == 0, F.concat(K.cast("string"), F.lit("x"))).otherwise(K.cast("string"))
+    text = F.when(k_of() % 10 == 0, F.concat(k_of().cast("string"), F.lit("x"))).otherwise(k_of().cast("string"))
     source = table(spark, sf, "events").select("event_id", text.alias("k"))
     schema = T.StructType([T.StructField("event_id", T.LongType(), False), T.StructField("k", T.ShortType())])
     fits, rest = store.conform(source, schema)
@@ -80,7 +85,7 @@ def _reads(spark, sf):
 
 
 def _other(spark, sf):
-    events = table(spark, sf, "events").where("event_type <> 'error'").withColumn("k", K)
+    events = table(spark, sf, "events").where("event_type <> 'error'").withColumn("k", k_of())
     return store.ingest(events, "user_id", {"value": ("value", "double"), "k": ("k", "int"),
                                             "event_id": ("event_id", "long")}, "ts", "event_id")
 

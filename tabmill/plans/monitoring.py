@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabmill.operators import feature_store as store, monitor
-from tabmill.plans.history import K, SQL_K
+from tabmill.plans.history import SQL_K, k_of
 from tabmill.plans.prepare import _sql_bin
 from tabmill.plans.registry import query, sql_in_fraction, table
 from tabmill.session import fresh_path
@@ -75,7 +75,7 @@ _DRIFT = _sql_drift(_event_stack)
 
 
 def _event_drift(spark, sf):
-    events = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "value", K.alias("k"), "event_type")
+    events = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "value", k_of().alias("k"), "event_type")
     return monitor.drift(events, F.col("day"), EVENT_EDGES, ["event_type"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabmill.operators import evaluate, runs
-from tabmill.plans.history import K, SQL_K
+from tabmill.plans.history import SQL_K, k_of
 from tabmill.plans.registry import query, table
 from tabmill.session import fresh_path
 
@@ -16,12 +16,13 @@ s as (select event_type as run, day(ts) as step, {SQL_K} as label, value as pred
 
 def _scored(spark, sf):
     return table(spark, sf, "events").select(
-        F.col("event_type").alias("run"), F.dayofmonth("ts").alias("step"), K.alias("label"),
-        F.col("value").alias("prediction"), (K >= 50).cast("int").alias("y"),
+        F.col("event_type").alias("run"), F.dayofmonth("ts").alias("step"), k_of().alias("label"),
+        F.col("value").alias("prediction"), (k_of() >= 50).cast("int").alias("y"),
         (F.col("value") >= 25).cast("int").alias("said"))
 
 
-METRICS = {"accuracy": evaluate.accuracy("y", "said"), "eval_mae": evaluate.mae("label", "prediction")}
+def metrics():
+    return {"accuracy": evaluate.accuracy("y", "said"), "eval_mae": evaluate.mae("label", "prediction")}
 
 
 def _rounded(log):
@@ -36,19 +37,19 @@ union all select run, cast({step} as bigint), 'metric', 'eval_mae', round(avg(ab
 
 @query(f"with {_scored_sql} {_log_sql('null').replace(', null', '')}".replace("group by run, null", "group by run"))
 def run_metrics(spark, sf):
-    return _rounded(runs.run_metrics(_scored(spark, sf), METRICS))
+    return _rounded(runs.run_metrics(_scored(spark, sf), metrics()))
 
 
 @query(f"with {_scored_sql} {_log_sql('step')}")
 def epoch_metrics(spark, sf):
-    return _rounded(runs.run_metrics(_scored(spark, sf), METRICS, step="step"))
+    return _rounded(runs.run_metrics(_scored(spark, sf), metrics(), step="step"))
 
 
 def _log(spark, sf):
     scored = _scored(spark, sf)
     sizes = scored.groupBy("run").agg(F.count("*").alias("rows"), F.count_distinct("step").alias("epochs"))
     params = runs.run_params(sizes, {"rows": F.col("rows"), "epochs": F.col("epochs")})
-    return _rounded(runs.run_metrics(scored, METRICS)).unionByName(params)
+    return _rounded(runs.run_metrics(scored, metrics())).unionByName(params)
 
 
 NAMES = ["metric.accuracy", "metric.eval_mae", "param.epochs", "param.rows"]
@@ -105,7 +106,7 @@ def _edges(spark, sf):
         return df.select(execution.alias("execution"), F.lit(direction).alias("direction"), artifact.alias("artifact"))
 
     parts = [
-        edge(t("lineitem"), name("order", "l_orderkey"), "input", name("part", "l_partkey")),
+        edge(table(spark, sf, "lineitem", ["l_orderkey"]), name("order", "l_orderkey"), "input", name("part", "l_partkey")),
         edge(t("orders"), name("order", "o_orderkey"), "output", name("invoice", "o_orderkey")),
         edge(t("orders"), name("bill", "o_custkey"), "input", name("invoice", "o_orderkey")),
         edge(t("customer"), name("bill", "c_custkey"), "output", name("account", "c_custkey")),
