@@ -132,7 +132,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     per_score = df.groupBy(F.col(score).alias("score")).agg(
         F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
     curve = running_totals(per_score, [F.desc("score")], {"tp": "pos", "fp": "neg"})
-    positives = df.agg(F.sum(hit)).scalar()
+    positives = curve.agg(F.max("tp")).scalar()  # from the written curve, not the scored rows
     return curve.select("*", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
                         F.try_divide("tp", positives).alias("recall"))
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabmill.functions import hashing
+from tabmill.functions.joins import lookup
 from tabmill.functions.order import hash_cutoffs, order_statistics, sizes
 
 Keys = Sequence[str]
@@ -49,18 +50,20 @@ def exact_split(df: DataFrame, names: Sequence[str], key: Keys, shares: Sequence
     ``shares`` or ``counts`` are cumulative ends of all parts but the last. With ``by`` the
     shares hold within each class (a stratified split).
     """
-    by = list(by)
     spot = hashing.digest(*key, seed=seed)
-    cuts = hash_cutoffs(df, spot, shares=shares, counts=counts, by=by)
     if not by:
         # one row per cut: known values make the labelling a plain map over the rows
-        ends = {r["cut"]: r["cutoff"] for r in cuts.collect()}
+        ends = {r["cut"]: r["cutoff"] for r in hash_cutoffs(df, spot, shares, counts).collect()}
         return df.withColumn(out, _part([F.lit(ends.get(i, "")) for i in range(len(names) - 1)], spot, names))
+    # a null class is a class: its text is "{}"
+    classed = df.withColumn("_class", F.to_json(F.struct(*by)))
+    cuts = hash_cutoffs(classed, spot, shares, counts, by=["_class"])
     # one short array per class: as many entries as there are cuts
-    per_class = cuts.groupBy(*by).agg(
+    per_class = cuts.groupBy("_class").agg(
         F.sort_array(F.collect_list(F.struct("cut", "cutoff"))).alias("_cuts"))
     ends = [F.col("_cuts")[i]["cutoff"] for i in range(len(names) - 1)]
-    return df.join(per_class, by).withColumn(out, _part(ends, spot, names)).drop("_cuts")
+    return (lookup(classed, per_class, ["_class"], how="inner")
+            .withColumn(out, _part(ends, spot, names)).drop("_cuts", "_class"))
 
 
 def _part(ends: Sequence[Column], spot: Column, names: Sequence[str]) -> Column:
@@ -111,7 +114,10 @@ def fractions(df: DataFrame, key: Keys, shares: Sequence[float] = (0.8, 0.1, 0.1
 def chronological(df: DataFrame, time: str, shares: Sequence[float] = (0.8, 0.9),
                   names: Sequence[str] = ("train", "validate", "test"),
                   out: str = "split") -> DataFrame:
-    """Oldest rows first; rows of one time stay together, with the first of them."""
+    """Oldest rows first; rows of one time stay together, with the first of them.
+
+    Rows without a time go to the last part.
+    """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     timed = df.select(micros.alias("t")).where("t is not null")
     whole = sizes(timed, ["t"])

@@ -23,12 +23,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabmill.functions.joins import lookup
 from tabmill.operators import features as feat, split
-from tabmill.session import cut
+from tabmill.session import cut, shared_dir
 
 
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep the rows at hand for the passes of a fit."""
+    """Keep the rows at hand for the passes of a fit.
+
+    With a checkpoint folder set, boosting cuts its growing lineage there every few rounds.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield df
@@ -156,6 +162,9 @@ def out_of_fold(df: DataFrame, key: Sequence[str], estimator: Estimator, k: int
 
 # -- text classes ---------------------------------------------------------------------------
 
+MAX_CLASSES = 1000
+
+
 @dataclass
 class TextClasses:
     """Multinomial naive Bayes on TF-IDF: lookup tables, no vocabulary on the driver."""
@@ -167,8 +176,12 @@ class TextClasses:
 
 
 def fit_text_classes(df: DataFrame, key: str, text: str, label: str, alpha: float = 1.0) -> TextClasses:
-    """Fit by aggregation: any vocabulary size, no term left out."""
-    per_class = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
+    """Fit by aggregation: any vocabulary size, no term left out. Rows without a label are not used."""
+    df = df.where(F.col(label).isNotNull())
+    sizes = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    per_class = sorted((r[0], r[1]) for r in sizes)
     classes = [c for c, _ in per_class]
     documents = sum(n for _, n in per_class)
     idf = cut(feat.inverse_frequency(df, text))

@@ -46,6 +46,11 @@ def test_exact_sizes(frame):
     assert sizes(rare) == {"train": 160, "validate": 20, "test": 20}
 
 
+def test_a_null_class_is_a_class(spark):
+    df = spark.range(1000).withColumn("c", F.when(F.col("id") % 2 == 0, "even"))
+    assert sizes(split.stratified(df, "c", ["id"]).where("c is null")) == {"train": 400, "validate": 50, "test": 50}
+
+
 def test_fraction_within_binomial_bounds(frame):
     n = sizes(split.fractions(frame, ["id"], (0.8, 0.2), ("a", "b")))["a"]
     assert abs(n - 8000) < 5 * math.sqrt(10_000 * 0.8 * 0.2)
