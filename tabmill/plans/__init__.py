@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("prepare", "evaluation", "history", "monitoring", "tracking", "training", "files")
+MODULES = ("prepare", "evaluation", "history", "monitoring", "tracking", "training", "files", "flows")
 
 
 def all_queries():
