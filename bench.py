@@ -16,7 +16,7 @@ from tabmill.session import local_session
 
 HEADLINE = """fraud_flow fraud_prep split_counts split_chrono split_stratified holdout_fixed label_codes
 standardize_clip normalize_all summary_stats mi_top10 lags term_counts tfidf nb_scores weighted_pr aucpr_many_scores
-regression_metrics asof_join latest_values snapshot_stats ingest_row_time skew drift_daily hourly_counts
+regression_metrics asof_join latest_values snapshot_stats ingest_lines ingest_row_time skew drift_daily hourly_counts
 stream_hourly run_metrics lineage_closure instances_parsed csv_round_trip linear_score gbt_scores""".split()
 
 

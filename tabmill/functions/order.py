@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from tabmill.functions.joins import lookup
 from tabmill.session import cut
 
 PREFIX_DIGITS = 4  # 65,536 prefixes: the count table is bounded whatever the input
@@ -39,21 +40,21 @@ def hash_cutoffs(df: DataFrame, hash_text: Column, shares: Sequence[float] | Non
         F.sum("_n").over(whole).alias("_total"))
     wanted = [F.struct(F.lit(i).alias("cut"), _target(v, shares is not None).alias("_k"))
               for i, v in enumerate(shares if shares is not None else counts)]
-    cuts = (ranges.select("*", F.explode(F.array(*wanted)).alias("_w"))
-            .select(*by, "_prefix", "_n", "_end", "_total", "_w.cut", "_w._k"))
-    start = F.col("_end") - F.col("_n")
-    held = cuts.where((F.col("_k") > start) & (F.col("_k") <= F.col("_end")))
+    start, first = F.col("_end") - F.col("_n"), F.col("_end") == F.col("_n")
+    last = F.col("_end") == F.col("_total")
+    holds = (F.col("_k") > start) & (F.col("_k") <= F.col("_end"))
+    # a cut before all rows, or past them, needs no look at the rows; "g" is above every hex digit
+    known = F.when(F.col("_k") <= 0, F.lit("")).when(F.col("_k") > F.col("_total"), F.lit("g"))
+    # one row per class and cut
+    picked = cut(ranges.select("*", F.explode(F.array(*wanted)).alias("_w"))
+                 .select(*by, "_prefix", "_n", "_end", "_total", "_w.cut", "_w._k")
+                 .where(holds | (first & (F.col("_k") <= 0)) | (last & (F.col("_k") > F.col("_total"))))
+                 .select(*by, "_prefix", "cut", (F.col("_k") - start).alias("_nth"), known.alias("cutoff")))
     # at most one prefix per class and cut is looked into
-    inside = (hashed.join(F.broadcast(held) if not by else held, [*by, "_prefix"])
-              .select(*by, "cut", "_hash", (F.col("_k") - start).alias("_nth")))
+    inside = lookup(hashed, picked.where("cutoff is null").drop("cutoff"), [*by, "_prefix"], "inner", written=True)
     spot = F.row_number().over(Window.partitionBy(*by, "cut").orderBy("_hash"))
-    found = (inside.withColumn("_pos", spot).where("_pos = _nth")
-             .select(*by, "cut", F.col("_hash").alias("cutoff")))
-    first = F.col("_end") == F.col("_n")
-    empty = cuts.where(first & (F.col("_k") <= 0)).select(*by, "cut", F.lit("").alias("cutoff"))
-    past = (cuts.where((F.col("_end") == F.col("_total")) & (F.col("_k") > F.col("_total")))
-            .select(*by, "cut", F.lit("g").alias("cutoff")))  # above every hex digit
-    return found.unionByName(empty).unionByName(past)
+    found = inside.withColumn("_pos", spot).where("_pos = _nth").select(*by, "cut", F.col("_hash").alias("cutoff"))
+    return found.unionByName(picked.where("cutoff is not null").select(*by, "cut", "cutoff"))
 
 
 def _target(value: float, is_share: bool) -> Column:

@@ -11,8 +11,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tabmill.functions.joins import lookup
+from tabmill.session import cut
+
 ENTITY, TIME, INGEST = "entity_id", "feature_time", "ingest_id"
-DAY_SECONDS = 86_400
+ROWS_PER_SLICE = 2_000_000
 
 
 def conform(source: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -69,48 +72,68 @@ def latest(history: DataFrame, features: Sequence[str] | None = None,
 
 
 def as_of(reads: DataFrame, history: DataFrame, entity: str, at: str,
-          features: Sequence[str] | None = None, slice_seconds: int = DAY_SECONDS) -> DataFrame:
+          features: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """For each read (entity, time) the newest history row at or before that time.
 
-    Rows of an entity are cut into time slices, so an entity that holds a third of the history
-    is worked on by as many tasks as it has slices. What a slice inherits from earlier slices is
-    one row, found over the slice summaries only; it enters as the slice's first row. All reads
-    come back; an unknown entity gives nulls.
+    Both sides go to one shuffle by entity and one sort. An entity with more than
+    ``rows_per_slice`` rows is first cut into time slices of about that many, so one that holds a
+    third of all rows is the work of many tasks. What a slice inherits from earlier ones is one
+    row, found over the slice summaries of those entities only; it enters as the slice's first
+    row. All reads come back; an unknown entity gives nulls. Rows of one entity and time always
+    share a slice: use ``last_write`` first where very many do.
     """
     features = _features(history, features)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    part = lambda m: F.floor(m / F.lit(slice_seconds * 1_000_000)).cast("long")
     pack = F.struct(F.col(TIME), *[F.col(f) for f in features])
     past = history.where(F.col(ENTITY).isNotNull() & F.col(TIME).isNotNull()).select(
-        F.col(ENTITY).alias("_e"), part(micros(TIME)).alias("_slice"), micros(TIME).alias("_t"),
+        F.col(ENTITY).alias("_e"), micros(TIME).alias("_t"),
         F.lit(0).alias("_side"), F.col(INGEST).alias("_o"), pack.alias("_pack"))
     asked = reads.select(
-        F.col(entity).cast("string").alias("_e"), part(micros(at)).alias("_slice"),
-        micros(at).alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_o"),
-        F.struct(*reads.columns).alias("_read"))
+        F.col(entity).cast("string").alias("_e"), micros(at).alias("_t"), F.lit(1).alias("_side"),
+        F.lit(0).cast("long").alias("_o"), F.struct(*reads.columns).alias("_read"))
     both = past.unionByName(asked, allowMissingColumns=True)
-
-    event = F.col("_side") == 0
-    slices = both.groupBy("_e", "_slice").agg(
-        F.max_by(F.when(event, F.col("_pack")), F.when(event, F.struct("_t", "_o"))).alias("_last"),
-        F.max("_side").alias("_asked"))
-    # per entity at most one row per slice of the history's time span
-    before = (Window.partitionBy("_e").orderBy("_slice")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    inherited = (slices.withColumn("_pack", F.last("_last", ignorenulls=True).over(before))
-                 .where("_asked = 1 and _pack is not null")
-                 .select("_e", "_slice", F.lit(None).cast("long").alias("_t"),
-                         F.lit(-1).alias("_side"), F.lit(None).cast("long").alias("_o"), "_pack"))
+    widths = _slice_widths(both, rows_per_slice)
+    if widths is None:
+        sliced = both.withColumn("_slice", F.lit(0).cast("long"))
+    else:
+        slice_ = F.coalesce(F.floor(F.col("_t") / F.col("_width")), F.lit(0)).cast("long")
+        sliced = lookup(both, widths, ["_e"], written=True).withColumn("_slice", slice_)
+        sliced = sliced.unionByName(_inherited(sliced).select("_e", "_side", "_slice", "_pack"),
+                                    allowMissingColumns=True)
     # nulls sort first: the inherited row leads its slice
     order = Window.partitionBy("_e", "_slice").orderBy(
         F.col("_t").asc_nulls_first(), "_side", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    found = (both.unionByName(inherited, allowMissingColumns=True)
-             .withColumn("_found", F.last("_pack", ignorenulls=True).over(order))
-             .where("_side = 1"))
+    found = sliced.withColumn("_found", F.last("_pack", ignorenulls=True).over(order)).where("_side = 1")
     return found.select("_read.*", F.col(f"_found.{TIME}").alias(TIME),
                         *[F.col(f"_found.{f}").alias(f) for f in features])
 
 
+def _slice_widths(both: DataFrame, rows_per_slice: int) -> DataFrame | None:
+    """Slice width in microseconds of each entity with too many rows for one task, if any.
+
+    There are at most (all rows / rows_per_slice) of them. Counting reads keys and times only.
+    """
+    span = F.max("_t") - F.min("_t") + 1
+    hot = (both.groupBy("_e").agg(F.count("*").alias("n"), span.alias("span"))
+           .where((F.col("n") > rows_per_slice) & F.col("_e").isNotNull()))
+    widths = cut(hot.select("_e", F.greatest(
+        F.lit(1), F.floor(F.col("span") / F.ceil(F.col("n") / rows_per_slice))).cast("long").alias("_width")))
+    return None if widths.isEmpty() else widths
+
+
+def _inherited(sliced: DataFrame) -> DataFrame:
+    """For each slice that is read, the newest history row of the slices before it."""
+    event = F.col("_side") == 0
+    summaries = (sliced.where("_width is not null").groupBy("_e", "_slice").agg(
+        F.max_by(F.when(event, F.col("_pack")), F.when(event, F.struct("_t", "_o"))).alias("_last"),
+        F.max("_side").alias("_asked")))
+    # per entity one row per slice, which is few by the choice of the width
+    before = (Window.partitionBy("_e").orderBy("_slice")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (summaries.withColumn("_pack", F.last("_last", ignorenulls=True).over(before))
+            .where("_asked = 1 and _pack is not null").withColumn("_side", F.lit(-1)))
+
+
 def as_of_by_range(reads: DataFrame, history: DataFrame, entity: str, at: str,
                    features: Sequence[str] | None = None) -> DataFrame:
     """The same answer by a range join; kept as a check for ``as_of`` on small data.

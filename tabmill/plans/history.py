@@ -51,6 +51,17 @@ def ingest_constant_time(spark, sf):
                           "balance", "segment")
 
 
+@query("""
+select cast(l_orderkey as varchar) as entity_id, l_quantity as quantity, l_extendedprice as price,
+       l_returnflag as flag from lineitem""")
+def ingest_lines(spark, sf):
+    """A bulk import with one constant time: map-only."""
+    history = store.ingest(table(spark, sf, "lineitem"), "l_orderkey", {
+        "quantity": ("l_quantity", "double"), "price": ("l_extendedprice", "double"),
+        "flag": ("l_returnflag", "string")}, datetime(2021, 1, 1, 9, 30))
+    return history.select("entity_id", "quantity", "price", "flag")
+
+
 @query("""
 select cast(user_id as varchar) as entity_id, strftime(date_trunc('day', ts), '%Y-%m-%d') as day,
        arg_max(value, event_id) as value from events group by 1, 2""")

@@ -27,20 +27,21 @@ def answers(df):
     return {r["i"]: (r["a"], r["b"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("slice_seconds", [600, 86_400, 10**9])
-def test_as_of_ties_nulls_and_unknown_entities(spark, slice_seconds):
+@pytest.mark.parametrize("rows_per_slice", [1, 2, 4, 10**6])
+def test_as_of_ties_nulls_and_unknown_entities(spark, rows_per_slice):
     history = [("x", at(1), 1, 1.0, "p"), ("x", at(1), 2, None, "q"), ("x", at(50), 3, 3.0, None),
                ("y", at(0), 4, 4.0, "r")]
     reads = [(0, "x", at(0.5)), (1, "x", at(1)), (2, "x", at(49)), (3, "x", at(50)), (4, "x", at(5000)),
              (5, "y", at(0)), (6, "z", at(9)), (7, "x", at(1))]
     r = spark.createDataFrame(reads, "i int, who string, at timestamp")
     h = spark.createDataFrame(history, HISTORY)
-    got = answers(store.as_of(r, h, "who", "at", slice_seconds=slice_seconds))
+    got = answers(store.as_of(r, h, "who", "at", rows_per_slice=rows_per_slice))
     assert got == by_hand(reads, history)
     assert answers(store.as_of_by_range(r, h, "who", "at")) == got
 
 
-def test_as_of_with_a_hot_entity(spark):
+@pytest.mark.parametrize("rows_per_slice", [30, 400, 10**6])
+def test_as_of_with_a_hot_entity(spark, rows_per_slice):
     """One entity holds most rows; long gaps, equal times, reads of all kinds."""
     history, reads = [], []
     for i in range(1200):
@@ -49,7 +50,7 @@ def test_as_of_with_a_hot_entity(spark):
         reads.append((i, who if i % 11 else "nobody", at((i * 53) % 1000 / 2 - 10)))
     r = spark.createDataFrame(reads, "i int, who string, at timestamp").repartition(5)
     h = spark.createDataFrame(history, HISTORY).repartition(3)
-    assert answers(store.as_of(r, h, "who", "at", slice_seconds=7200)) == by_hand(reads, history)
+    assert answers(store.as_of(r, h, "who", "at", rows_per_slice=rows_per_slice)) == by_hand(reads, history)
 
 
 def test_feature_subset_and_star(spark):
