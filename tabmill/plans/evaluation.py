@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from tabmill.operators import clean, evaluate, features as feat, score, split
 from tabmill.operators.train import regression_line
-from tabmill.plans.prepare import LINE_KEY, RARE, SQL_LINES, lines
+from tabmill.plans.prepare import LINE_KEY, SQL_LINES, lines
 from tabmill.plans.registry import query, sql_bucket, sql_cents, sql_in_fraction, table
 from tabmill.sources.files import parse_predictions
 from tabmill.session import fresh_path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tabmill.functions import hashing
 from tabmill.functions.text import PUNCTUATION, plain
@@ -206,7 +206,6 @@ def shuffled_head(spark, sf):
     head = split.shuffled(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"]).limit(20)
     spot = hashing.digest("o_orderkey", seed="2")
     # the twenty rows of the report, numbered
-    from pyspark.sql import Window
     return head.select(F.row_number().over(Window.orderBy(spot)).cast("long").alias("pos"), "o_orderkey")
 
 

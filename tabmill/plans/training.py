@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
+                                       RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.functions import vector_to_array
@@ -109,8 +111,6 @@ def search(spark, sf):
     """Random trials over a log, an integer and a choice parameter, judged by accuracy."""
     fit, rest = halves(labelled(spark, sf, CLASSES))
     settings = train.draw({"rate": ("log", 0.01, 0.5), "depth": ("int", 2, 4), "bins": ("choice", [16, 32])}, 4)
-    from pyspark.ml.classification import RandomForestClassifier
-
     def build(s):
         return train.plain(COLS, RandomForestClassifier(
             maxDepth=s["depth"], maxBins=s["bins"], subsamplingRate=min(1.0, 2 * s["rate"]), numTrees=5, seed=2))
@@ -148,7 +148,6 @@ def automatic_regression(spark, sf):
 @query()
 def oof_scores(spark, sf):
     """Three folds by row hash, every row scored once by a model that has not seen it."""
-    from pyspark.ml.classification import DecisionTreeClassifier
     return train.out_of_fold(binary(spark, sf).select(*LINE_KEY, *COLS, "label"), LINE_KEY,
                              train.plain(COLS, DecisionTreeClassifier(maxDepth=5, seed=2)))
 
@@ -156,7 +155,6 @@ def oof_scores(spark, sf):
 @query()
 def stored_scores(spark, sf):
     """Pipeline from a column spec, stored, loaded and used to score the hold-out into files."""
-    from pyspark.ml.classification import LogisticRegression
     fit, rest = halves(binary(spark, sf))
     spec = feat.feature_pipeline(fit, numeric=COLS[:2], auto=["l_tax", "l_returnflag"], label="label")
     with train.held(fit) as fit:

@@ -107,6 +107,14 @@ def test_reads_go_to_a_new_table_only(spark):
     spark.sql("drop table reads_once")
 
 
+def test_ingest_from_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("nameOrig,amount,oldbalanceOrg\nC1,9.5,100\nC2,0.5,7\n")
+    source = spark.read.schema("nameOrig string, amount string, oldbalanceOrg string").option("header", True).csv(
+        str(tmp_path / "a.csv"))
+    h = store.ingest(source, "nameOrig", {"amount": ("amount", "double"), "oldbalance_orig": ("oldbalanceOrg", "double")}, START)
+    assert sorted(map(tuple, h.collect())) == [("C1", START, 0, 9.5, 100.0), ("C2", START, 0, 0.5, 7.0)]
+
+
 def test_ingest_of_a_million_rows(spark):
     source = spark.range(1_000_000).select("id", F.col("id").cast("string").alias("old"), F.lit(2).alias("Dest"))
     h = store.ingest(source, "id", {"old_balance": ("old", "double"), "dest": ("Dest", "double")}, START)

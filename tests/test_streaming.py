@@ -1,8 +1,9 @@
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tabmill.operators import feature_store as store, monitor
+from tabmill.sources import messages
 from tabmill.streaming import jobs
 
 SCHEMA = "event_id long, ts timestamp, user_id long, kind string, value double"
@@ -58,6 +59,17 @@ def test_latest_over_batches_and_restarts(spark, tmp_path):
     assert pick(jobs.read_latest(spark, out)) == pick(store.latest(batch))
 
 
+def test_messages_stream(spark, tmp_path):
+    """Trigger messages arrive as files and are decoded by the same call as in batch."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    sent = spark.createDataFrame([(1, '{"model_config": "a.json"}'), (2, "no json")], "id int, body string")
+    sent.select("id", F.base64(F.encode("body", "UTF-8")).alias("data")).write.parquet(folder)
+    source = spark.readStream.schema("id int, data string").parquet(folder)
+    jobs.append_to(messages.decode_messages(source, T.StructType.fromDDL("model_config string")), out, out + "-p")
+    got = spark.read.parquet(out).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "a.json", True), (2, None, False)]
+
+
 def test_histogram_counts_the_sample(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = events()
