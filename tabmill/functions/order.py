@@ -103,10 +103,10 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]],
                      ends: Row | None = None) -> dict[tuple[str, int], float]:
     """Exact values at 0-based ranks of numeric columns, nulls left out: ``{(col, rank): value}``.
 
-    No value is shuffled or sorted. A pass counts the rows of the interval around a rank in
-    ``BINS`` bins, map-side, and the next one goes on with the values of the one bin that holds
-    the rank, until they are all equal. A few passes over the pruned columns are usual.
-    ``ends`` is the row of ``sizes`` if it is known already.
+    Columns hold no NaN. No value is shuffled or sorted. A pass counts the rows of the interval
+    around a rank in ``BINS`` bins, map-side, and the next one goes on with the values of the one
+    bin that holds the rank, until they are all equal. A few passes over the pruned columns are
+    usual. ``ends`` is the row of ``sizes`` if it is known already.
     """
     ends = ends or sizes(df, list(ranks))
     # (column, rank) -> smallest and largest value of its interval, rows below the interval
@@ -139,8 +139,7 @@ def _count_bins(df: DataFrame, spans: Sequence[tuple]) -> dict[tuple, list[tuple
         marks = []
         for i, (c, lo, hi) in enumerate(own):
             x = F.col(c)
-            share = (x - F.lit(lo)) / F.lit(hi - lo)
-            step = F.least(F.floor(share.cast("double") * BINS), F.lit(BINS - 1)).cast("int")
+            step = _bin(x, lo, hi)
             marks.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
                                 F.struct(F.lit(i).alias("span"), step.alias("bin"), x.alias("x"))))
         counted = (df.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
@@ -152,6 +151,21 @@ def _count_bins(df: DataFrame, spans: Sequence[tuple]) -> dict[tuple, list[tuple
     return out
 
 
+def _bin(x: Column, lo, hi) -> Column:
+    """Bin of a value in [lo, hi]: never falls with x, and never the same for lo and hi."""
+    if isinstance(lo, float):
+        if math.isinf(lo) or math.isinf(hi):
+            return F.when(x == F.lit(lo), 0).when(x == F.lit(hi), 2).otherwise(1)
+        if hi / 2 == lo / 2:
+            return F.when(x == F.lit(lo), 0).otherwise(1)
+        share = (x / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)  # halves, as hi - lo may be too large
+    elif hi - lo < 1 << 53:
+        share = (x - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
+    else:
+        share = (x.cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
+    return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of numeric columns, exactly; None for an empty column."""
     ends = sizes(df, cols)

@@ -186,9 +186,13 @@ def shape(df: DataFrame) -> DataFrame:
 
 def summary(df: DataFrame, cols: Sequence[str] | None = None,
             probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Per column: count, mean, sample deviation, min, exact interpolated quartiles, max."""
+    """Per column: count, mean, sample deviation, min, exact interpolated quartiles, max.
+
+    NaN counts as missing, like null.
+    """
     cols = columns_of(df, NUMERIC) if cols is None else list(cols)
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    number = lambda c: F.col(c).cast("double")
+    df = df.select(*[F.when(~F.isnan(number(c)), number(c)).alias(c) for c in cols])
     quartiles = exact_quantiles(df, cols, probs)
     wide = df.agg(*[F.struct(
         F.lit(c).alias("feature"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),

@@ -20,21 +20,21 @@ from tabmill.functions.order import hash_cutoffs, order_statistics, sizes
 Keys = Sequence[str]
 
 
-def sample(df: DataFrame, fraction: float, key: Keys, seed: str = "2") -> DataFrame:
+def sample(df: DataFrame, fraction: float, key: Keys, seed: str = "2", fast: bool = False) -> DataFrame:
     """Seeded sample of about ``fraction`` of the keys."""
-    return df.where(hashing.in_fraction(fraction, *key, seed=seed))
+    return df.where(hashing.in_fraction(fraction, *key, seed=seed, fast=fast))
 
 
-def complement(df: DataFrame, fraction: float, key: Keys, seed: str = "2") -> DataFrame:
+def complement(df: DataFrame, fraction: float, key: Keys, seed: str = "2", fast: bool = False) -> DataFrame:
     """The rows ``sample`` leaves out: no join needed, the rule is on the row itself."""
-    return df.where(~hashing.in_fraction(fraction, *key, seed=seed))
+    return df.where(~hashing.in_fraction(fraction, *key, seed=seed, fast=fast))
 
 
 def undersample(df: DataFrame, label: str, minority, fraction: float, key: Keys,
-                seed: str = "2") -> DataFrame:
+                seed: str = "2", fast: bool = False) -> DataFrame:
     """All rows of the minority class and a sample of the others, in one filter."""
     return df.where((F.col(label) == F.lit(minority))
-                    | hashing.in_fraction(fraction, *key, seed=seed))
+                    | hashing.in_fraction(fraction, *key, seed=seed, fast=fast))
 
 
 def shuffled(df: DataFrame, key: Keys, seed: str = "2") -> DataFrame:
@@ -100,14 +100,14 @@ def stratified(df: DataFrame, label: str, key: Keys, shares: Sequence[float] = (
 
 def fractions(df: DataFrame, key: Keys, shares: Sequence[float] = (0.8, 0.1, 0.1),
               names: Sequence[str] = ("train", "validate", "test"), seed: str = "2",
-              out: str = "split") -> DataFrame:
-    """Shares in expectation, decided row by row."""
-    spot = hashing.digest(*key, seed=seed)
+              out: str = "split", fast: bool = False) -> DataFrame:
+    """Shares in expectation, decided row by row; ``fast`` as in ``hashing.in_fraction``."""
+    spot = hashing.fast_hash(*key, seed=seed) if fast else hashing.digest(*key, seed=seed)
+    below = hashing.fast_below if fast else hashing.below
     label, end = None, 0.0
     for share, name in zip(shares[:-1], names[:-1]):
         end += share
-        inside = hashing.below(spot, end)
-        label = F.when(inside, name) if label is None else label.when(inside, name)
+        label = F.when(below(spot, end), name) if label is None else label.when(below(spot, end), name)
     return df.withColumn(out, label.otherwise(names[-1]))
 
 
@@ -145,8 +145,9 @@ def given_split(df: DataFrame, col: str, names: Sequence[str]) -> dict[str, Data
     return {n: df.where(F.col(col) == F.lit(n)) for n in names}
 
 
-def folds(df: DataFrame, k: int, key: Keys, seed: str = "2", out: str = "fold") -> DataFrame:
-    return df.withColumn(out, hashing.bucket(k, *key, seed=seed).cast("int"))
+def folds(df: DataFrame, k: int, key: Keys, seed: str = "2", out: str = "fold", fast: bool = False) -> DataFrame:
+    number = hashing.fast_bucket if fast else hashing.bucket
+    return df.withColumn(out, number(k, *key, seed=seed).cast("int"))
 
 
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:

@@ -75,3 +75,9 @@ def test_summary_with_an_empty_column(spark):
     got = {r.feature: r for r in evaluate.summary(df).collect()}
     assert (got["a"].n, got["a"].p25, got["a"].p50, got["a"].p75, got["a"].max) == (3, 1.5, 2.0, 3.0, 4.0)
     assert got["b"].n == 0 and got["b"].p50 is None
+
+
+def test_nan_is_missing_in_a_summary(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "a double")
+    row = evaluate.summary(df).first()
+    assert (row.n, row["mean"], row.p50, row["max"]) == (2, 2.0, 2.0, 3.0)

@@ -30,6 +30,16 @@ def test_order_statistics_of_uneven_values(spark):
     assert [got["n", k] for k in ranks] == [longs[k] for k in ranks]
 
 
+def test_order_statistics_at_the_ends_of_the_range(spark):
+    inf, big = float("inf"), 1.7e308
+    values = [-inf, -inf, -big, -1.0, 0.0, 5e-324, 1e-323, 1.0, big, inf, inf, inf]
+    longs = [-(2**63), -(2**63) + 1, -5, 0, 0, 1, 2, 2**62, 2**62 + 1, 2**63 - 3, 2**63 - 2, 2**63 - 1]
+    df = spark.createDataFrame(list(zip(values, longs)), "x double, n long").repartition(4)
+    got = order.order_statistics(df, {"x": range(12), "n": range(12)})
+    assert [got["x", k] for k in range(12)] == values
+    assert [got["n", k] for k in range(12)] == longs
+
+
 def test_running_totals(spark):
     rows = [(g, i, (i * 7) % 11) for g in ("a", "b") for i in range(500)]
     df = spark.createDataFrame(rows, "g string, i int, x long").repartition(7)

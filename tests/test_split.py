@@ -18,6 +18,7 @@ RULES = {
     "holdout": lambda df: split.holdout(df, ["id"]),
     "stratified": lambda df: split.stratified(df, "label", ["id"]),
     "fractions": lambda df: split.fractions(df, ["id"]),
+    "fast": lambda df: split.fractions(df, ["id"], fast=True),
     "chronological": lambda df: split.chronological(df, "day"),
     "content": lambda df: split.content_split(df, ["id", "label"]),
 }
@@ -51,13 +52,17 @@ def test_a_null_class_is_a_class(spark):
     assert sizes(split.stratified(df, "c", ["id"]).where("c is null")) == {"train": 400, "validate": 50, "test": 50}
 
 
-def test_fraction_within_binomial_bounds(frame):
-    n = sizes(split.fractions(frame, ["id"], (0.8, 0.2), ("a", "b")))["a"]
+@pytest.mark.parametrize("fast", [False, True])
+def test_fraction_within_binomial_bounds(frame, fast):
+    n = sizes(split.fractions(frame, ["id"], (0.8, 0.2), ("a", "b"), fast=fast))["a"]
     assert abs(n - 8000) < 5 * math.sqrt(10_000 * 0.8 * 0.2)
 
 
-def test_sample_and_complement_are_disjoint_and_whole(frame):
-    a, b = split.sample(frame, 0.3, ["id"]), split.complement(frame, 0.3, ["id"])
+@pytest.mark.parametrize("fast", [False, True])
+def test_sample_and_complement_are_disjoint_and_whole(frame, fast):
+    for whole in (0.0, 1.0):
+        assert split.sample(frame, whole, ["id"], fast=fast).count() == whole * 10_000
+    a, b = split.sample(frame, 0.3, ["id"], fast=fast), split.complement(frame, 0.3, ["id"], fast=fast)
     assert a.join(b, "id", "left_semi").count() == 0
     assert a.count() + b.count() == 10_000
 
@@ -86,8 +91,9 @@ def test_equal_rows_share_a_part(spark):
     assert per_row.where("n > 1").count() == 0
 
 
-def test_folds_cover_every_row_once(frame):
-    counts = {r["fold"]: r["count"] for r in split.folds(frame, 3, ["id"]).groupBy("fold").count().collect()}
+@pytest.mark.parametrize("fast", [False, True])
+def test_folds_cover_every_row_once(frame, fast):
+    counts = {r["fold"]: r["count"] for r in split.folds(frame, 3, ["id"], fast=fast).groupBy("fold").count().collect()}
     assert set(counts) == {0, 1, 2} and sum(counts.values()) == 10_000
 
 
