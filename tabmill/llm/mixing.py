@@ -116,15 +116,15 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select("src", "part", F.coalesce(F.sum("group_size").over(before), F.lit(0)).alias("first"))
     upto = Window.partitionBy("src", "part").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    laid = sized.withColumn("end", F.sum("size").over(upto)).join(offsets, ["src", "part"]).select(
+    laid = sized.withColumn("end", F.sum("size").over(upto)).join(offsets.hint("merge"), ["src", "part"]).select(
         "doc_id", "src", "size", (F.col("first") + F.col("end") - F.col("size")).alias("start"))
     laid = cut(laid)
     span = F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))
     pieces = laid.where("size > 0").select("src", "start", "size", F.explode(span).alias("block"))
     words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) \
         - F.greatest(F.col("start"), F.col("block") * block)
-    taken = pieces.join(times, ["src", "block"]).groupBy("src", "start").agg(F.sum(words * F.col("times")).alias("words"))
-    return laid.join(taken, ["src", "start"], "left").join(
+    taken = pieces.join(times.hint("merge"), ["src", "block"]).groupBy("src", "start").agg(F.sum(words * F.col("times")).alias("words"))
+    return laid.join(taken.hint("merge"), ["src", "start"], "left").join(
         wanted.select("src", "source_size", "target"), "src").select(
         "doc_id", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce("words", F.lit(0))).otherwise(0).cast("long").alias("taken"))

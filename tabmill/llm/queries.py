@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import leaks, mixing, shards, tokenfile
+from tabmill.llm import compression, credentials, langid, leaks, mixing, shards, tokenfile, unigram
 from tabmill.llm.common import table
 
 QUERIES: dict = {}
@@ -23,6 +22,34 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identified(table(spark, sf, "documents"))
+
+
+@query()
+def op2_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return compression.rules(table(spark, sf, "documents"))
+
+
+@query()
+def op5_grammar_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return credentials.scan(table(spark, sf, "documents"))
+
+
+def unigram_vocabulary(name: str = "piece_bpe_32k.model") -> unigram.Vocabulary:
+    """Pieces and scores of a public vocabulary."""
+    import sentencepiece
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
+    return tuple((pieces.id_to_piece(i), pieces.get_score(i)) for i in range(pieces.get_piece_size()))
+
+
+@query()
+def op6_viterbi_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return unigram.token_counts(table(spark, sf, "documents"), unigram_vocabulary())
+
+
 @query()
 def op7_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
