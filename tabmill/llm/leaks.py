@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tabmill.llm.common import LOWER, arrow_type, slices, texts
 from tabmill.session import cut, fresh_path
@@ -241,3 +241,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
         F.size(items_).cast("long").alias("n_items"), F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"),
         (F.coalesce("hit", F.lit(0)) > 0).alias("contaminated"),
         F.size(F.array_except(F.coalesce("near", F.array().cast("array<string>")), items_)).cast("long").alias("n_near"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Documents that hold no phrase of an item: rows of ``docs``, all columns. Rows without an id stay."""
+    found = matches(build_index(docs.where("doc_id is not null")), items, window)
+    gone = cut(found.select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")

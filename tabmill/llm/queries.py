@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import compression, credentials, langid, leaks, mixing, shards, tokenfile, unigram
+from tabmill.llm import compression, credentials, langid, leaks, mixing, quotes, setjoin, shards, tokenfile, unigram
 from tabmill.llm.common import table
 
 QUERIES: dict = {}
@@ -32,6 +32,16 @@ def op2_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
     return compression.rules(table(spark, sf, "documents"))
 
 
+@query()
+def op3_universe_partition(spark: SparkSession, sf: str) -> DataFrame:
+    return setjoin.linked(table(spark, sf, "documents"))
+
+
+@query()
+def op4_quotation_links(spark: SparkSession, sf: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf, "conversations"))
+
+
 @query()
 def op5_grammar_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return credentials.scan(table(spark, sf, "documents"))
