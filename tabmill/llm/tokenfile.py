@@ -231,6 +231,19 @@ class Codebook:
         return out.T.ravel()[:n]
 
 
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Id counts of many tasks added up before they are spelled out."""
+    totals = np.zeros(0, np.int64)
+    for batch in batches:
+        for tokens, freqs in zip(batch.column(0), batch.column(1)):
+            ids = tokens.values.to_numpy()
+            if len(ids):
+                totals = np.pad(totals, (0, max(0, int(ids.max()) + 1 - len(totals))))
+                totals[ids] += freqs.values.to_numpy()
+    seen = np.flatnonzero(totals)
+    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(totals[seen])], names=["token", "freq"])
+
+
 def write_ids(docs: DataFrame, spec: str, path: str, end: int = END) -> None:
     """Encode all texts and write their ids, with ``end`` after each document, in ascending ``doc_id`` order.
 
@@ -242,8 +255,8 @@ def write_ids(docs: DataFrame, spec: str, path: str, end: int = END) -> None:
     raw_path = fresh_path(spark, "ids")
     tokenized(docs, spec, end).write.parquet(raw_path)
     raw = spark.read.parquet(raw_path)
-    counts = raw.where("tokens is not null").select(F.explode(F.arrays_zip("tokens", "freqs")).alias("t")) \
-        .groupBy(F.col("t.tokens").alias("token")).agg(F.sum("t.freqs").alias("freq"))
+    counts = raw.where("tokens is not null").select("tokens", "freqs").mapInArrow(summed, "token int, freq long") \
+        .groupBy("token").agg(F.sum("freq").alias("freq"))
     known = counts.orderBy("token").collect()  # a row per id of the vocabulary at most
     tokens = np.array([r["token"] for r in known], np.int64)
     lengths = code_lengths(np.array([r["freq"] for r in known], np.int64))
