@@ -7,6 +7,7 @@ longest wins, and a character is unknown only if no piece is that character alon
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import ahocorasick
@@ -28,38 +29,46 @@ class Counter:
         self.pieces = ahocorasick.Automaton()
         for piece, score in vocabulary:
             if piece:
-                self.pieces.add_word(piece, (len(piece), score))
+                self.pieces.add_word(piece, (len(piece) - 1, score))
         self.pieces.make_automaton()
+        self.alone = {piece for piece, _ in vocabulary if len(piece) == 1}
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN
         self.fallback = fallback
         self.known: dict[str, int] = {}
 
     def word(self, word: str) -> int:
         """Best path through one word, from its first character on."""
+        if not self.alone.issuperset(word):
+            return self.word_with_unknown(word)
+        score, count = [0.0], [0]
+        score += [-math.inf] * len(word)
+        count += [0] * len(word)
+        for end, (back, own) in self.pieces.iter(word):  # by end, longest first
+            start = end - back
+            total = own + score[start]
+            if total > score[end + 1]:
+                score[end + 1], count[end + 1] = total, count[start] + 1
+        return count[-1]
+
+    def word_with_unknown(self, word: str) -> int:
         n = len(word)
         score, count, open_ = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        done = 0
         ends = self.pieces.iter(word)
         piece = next(ends, None)
-        while done < n:
-            best, pieces, alone = None, 0, False
+        for done in range(n):
+            best, pieces = -math.inf, 0
             while piece is not None and piece[0] == done:  # longest first
-                length, own = piece[1]
-                alone |= length == 1
-                total = own + score[done + 1 - length]
-                if best is None or total > best:
-                    best, pieces = total, count[done + 1 - length] + 1
+                back, own = piece[1]
+                total = own + score[done - back]
+                if total > best:
+                    best, pieces = total, count[done - back] + 1
                 piece = next(ends, None)
-            unknown = False
-            if not alone:
-                total = self.unknown + score[done]
-                if best is None or total > best:
-                    best, unknown = total, True
-                    # neighbours that are unknown are one piece, or as many as they have bytes
-                    more = len(word[done].encode("utf-8", "surrogatepass")) if self.fallback else int(not open_[done])
-                    pieces = count[done] + more
-            done += 1
-            score[done], count[done], open_[done] = best, pieces, unknown
+            unknown = word[done] not in self.alone and self.unknown + score[done] > best
+            if unknown:
+                best = self.unknown + score[done]
+                # neighbours that are unknown are one piece, or as many as they have bytes
+                pieces = count[done] + (len(word[done].encode("utf-8", "surrogatepass")) if self.fallback else not open_[done])
+            score[done + 1], count[done + 1], open_[done + 1] = best, int(pieces), unknown
         return count[n]
 
     def text(self, text: str | None) -> int:
