@@ -22,13 +22,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabmill.llm.common import LOWER, WORD, slices, texts
+from tabmill.llm.common import LOWER, slices, texts
 from tabmill.session import cut
 
 SHINGLE = 4
 LIMIT = (85, 100)      # least similarity, as a fraction
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
-CHECK_COST = 20.0      # cost of verifying a candidate, in index entries
+CHECK_COST = 0.2       # cost of comparing the sketches of two sets of a bucket, in index entries
+WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
 KNOWN = 1_000_000      # words of which a worker remembers the hash
 
 # Fixed odd multipliers of a published 64-bit mixer
@@ -179,8 +180,8 @@ def fold(sketches: list[bytes]) -> np.ndarray:
 
 def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
     """Set size, set hash, index keys and sketch of every document, written once."""
-    # sets per band, by their number of words: a row per band comes here
-    n = F.greatest(F.lit(1), F.regexp_count(F.col("text").cast("string"), F.lit(WORD)) - (width - 1))
+    # sets per band, by the length of their text: a row per band comes here
+    n = F.greatest(F.lit(1.0), F.octet_length(F.col("text").cast("string")) / WORD_BYTES)
     step = 2 * math.log(limit[1] / limit[0])
     sizes = docs.where("text is not null").groupBy(F.floor(F.log(n) / step).alias("size")).count().collect()
     many: dict[int, int] = {}
