@@ -27,6 +27,7 @@ from tabmill.session import cut
 
 SHINGLE = 4
 LIMIT = (85, 100)      # least similarity, as a fraction
+LARGE = 64             # sets from which a bucket is large
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
 CHECK_COST = 0.2       # cost of comparing the sketches of two sets of a bucket, in index entries
 WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
@@ -269,20 +270,32 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
+def still_apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Of ``key, h``: the buckets that hold sets of several components, ``key, h, root, many``."""
+    placed = members.join(components(links).withColumnRenamed("node", "h"), "h", "left").select(
+        "key", "h", F.coalesce("root", "h").alias("root"))
+    split = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("many")) \
+        .where("r1 < r2").select("key", "many")
+    return cut(placed.join(split, "key").select("key", "h", "root", "many"))
+
+
 def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """Pairs of sets that share a key, have different roots, and whose sketches do not exclude a link.
 
-    ``members`` are ``key, h, root, many``. A large bucket is split into blocks; each pair of blocks is one group of rows.
+    ``members`` are ``key, h, root, many``. A large bucket is split into blocks; each pair of blocks is one group of rows. Sets
+    of a family meet in many large buckets: there a pair is given under the least of the large keys it shares only.
     """
+    large = members.where(F.col("many") >= LARGE).groupBy("h").agg(F.array_sort(F.collect_list("key")).alias("large"))
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("h"), blocks).cast("int")
     spread = members.select("key", "h", "root", block.alias("own_block"),
                             F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
         .select("key", "h", "root", "own_block", F.least("own_block", "other").alias("i"), F.greatest("own_block", "other").alias("j"))
-    held = spread.join(own.select("h", "n", "sketch"), "h").select("key", "i", "j", "h", "root", "n", "sketch") \
+    held = spread.join(own.select("h", "n", "sketch"), "h").join(large, "h", "left") \
+        .select("key", "i", "j", "h", "root", "n", "sketch", "large") \
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "h")
 
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    def compare(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
         if len(rows) < 2:
             return
         h, root, n = (np.array([r[k] for r in rows], np.int64) for k in range(3))
@@ -293,21 +306,23 @@ def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> D
                 differ = np.bitwise_count(bits[other] ^ bits[x]).sum(axis=1)
                 total = n[other] + n[x]
                 for y in other[differ <= (limit[1] - limit[0]) * total // (limit[1] + limit[0])]:
-                    yield int(h[x]), int(h[y])
+                    shared = set(rows[x][4] or ()).intersection(rows[y][4] or ())
+                    if key not in shared or key == min(shared):
+                        yield int(h[x]), int(h[y])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        last, rows = None, []
+        last, rows = (None,), []
         for batch in batches:
             found = []
             for key, i, j, *rest in zip(*[c.to_pylist() for c in batch.columns]):
                 if (key, i, j) != last:
-                    found += compare(rows)
+                    found += compare(last[0], rows)
                     last, rows = (key, i, j), []
                 rows.append(rest)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
-        found = list(compare(rows))
+        found = list(compare(last[0], rows))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
 
@@ -329,17 +344,11 @@ def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT
     entries = whole.where("h is not null").select(F.explode("keys").alias("key"), "h")
     heads = entries.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo")
     members = cut(entries.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
-    stars = members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct()
-    first = verified(stars, own, docs, width, limit)
-    roots = cut(components(first))
-    placed = members.join(roots.withColumnRenamed("node", "h"), "h", "left").select(
-        "key", "h", F.coalesce("root", "h").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("many")) \
-        .where("r1 < r2").select("key", "many")
-    left = cut(placed.join(split, "key").select("key", "h", "root", "many"))
+    stars = cut(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
+    links = verified(stars, own, docs, width, limit)
+    left = still_apart(members.drop("lo"), links)
     rest = apart_pairs(left, own, limit).join(stars, ["a", "b"], "left_anti")
-    second = verified(rest, own, docs, width, limit)
-    roots = cut(components(first.union(second)))
+    roots = cut(components(links.union(verified(rest, own, docs, width, limit))))
     rooted = whole.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "h") \
         .join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
