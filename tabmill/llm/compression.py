@@ -22,8 +22,8 @@ REPEATED = 50       # base rule: per cent of the words in repeated windows
 
 # Bytes from which a band holds, least and largest ratio of raw to compressed bytes of a whole text, and of a chunk.
 # Set once with room around labelled clean texts of all lengths and languages.
-WHOLE = ((0, 0.75, 8.0), (512, 1.10, 4.5), (2048, 1.25, 5.0), (16384, 1.40, 6.5), (131072, 1.50, 10.0))
-CHUNKS = ((0, 0.70, 9.0), (512, 1.05, 5.5), (2048, 1.15, 7.0))
+WHOLE = ((0, 0.75, 8.0), (512, 1.25, 4.5), (2048, 1.45, 5.0), (16384, 1.55, 6.5), (131072, 1.60, 10.0))
+CHUNKS = ((0, 0.70, 9.0), (512, 1.20, 5.5), (2048, 1.40, 7.0))
 BAD_CHUNKS = 0.25   # share of a text's bytes in chunks outside their band from which it is rejected
 
 OUT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

@@ -195,6 +195,8 @@ def joined(row: dict, asked: Phrases, slop: int, exact: bool) -> list[tuple]:
     if not parts:
         return []
     number, start = (np.concatenate(p) for p in zip(*parts))
+    if not len(number):
+        return []
     item, stop = asked.items[number], start + asked.lengths[number]
     order = np.lexsort((start, item))
     item, start, stop = item[order], start[order], stop[order]

@@ -29,7 +29,7 @@ SHINGLE = 4
 LIMIT = (85, 100)      # least similarity, as a fraction
 LARGE = 64             # sets from which a bucket is large
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
-CHECK_COST = 0.2       # cost of comparing the sketches of two sets of a bucket, in index entries
+CHECK_COST = 0.02      # cost of comparing the sketches of two sets of a bucket, in index entries
 WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
 KNOWN = 1_000_000      # words of which a worker remembers the hash
 
