@@ -171,10 +171,14 @@ def gate(metrics: DataFrame, limits: Mapping[str, tuple[str, float]]) -> DataFra
 
 
 def best_model(metrics: DataFrame, order: Sequence[str], smaller_is_better: bool = True) -> DataFrame:
-    """Best row of ``(model, value)``; the model named first in ``order`` wins a tie."""
+    """Best row of ``(model, value)``; the model named first in ``order`` wins a tie.
+
+    A null or NaN value never wins; without any other value there is no best model.
+    """
     rank = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
     value = F.col("value") if smaller_is_better else -F.col("value")
-    return metrics.agg(F.min_by(F.struct("model", "value"), F.struct(value, rank)).alias("best")).select("best.*")
+    valid = metrics.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return valid.agg(F.min_by(F.struct("model", "value"), F.struct(value, rank)).alias("best")).where("best is not null").select("best.*")
 
 
 # -- summaries ----------------------------------------------------------------------------

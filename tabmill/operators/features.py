@@ -18,8 +18,6 @@ from tabmill.functions.joins import lookup
 from tabmill.functions.order import running_totals
 from tabmill.operators.clean import NUMERIC, TEXT, columns_of
 
-MAX_DUMMIES = 2000
-
 
 # -- categories -------------------------------------------------------------------------
 
@@ -70,11 +68,9 @@ def vocabulary_encode(df: DataFrame, col: str, vocab: DataFrame, out: str) -> Da
     return lookup(df, table, [col]).withColumn(out, slot).drop("_slot")
 
 
-def category_values(df: DataFrame, col: str, limit: int = MAX_DUMMIES) -> list:
-    """Sorted distinct values that will become columns; too many is an error, not a cut."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} values: use label_encode")
+def category_values(df: DataFrame, col: str) -> list:
+    """Sorted distinct values that will become columns, a column each: for wide columns use ``label_encode``."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 

@@ -32,7 +32,8 @@ def histogram(df: DataFrame, edges: Mapping[str, Sequence[float]], categories: S
 def compare(baseline: DataFrame, current: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distance per feature between two histograms: ``(by..., feature, kind, distance)``.
 
-    Nothing is said about a feature one side knows nothing of.
+    A feature that one side has no rows of is as far away as can be: its distance is 1. With ``by``,
+    nothing is said about a group that one side has no rows of at all, such as the day before the first.
     """
     sides = baseline.select(*by, "feature", "kind", "bin", F.col("n").alias("b"), F.lit(0).cast("long").alias("c")
                             ).unionByName(
@@ -40,12 +41,17 @@ def compare(baseline: DataFrame, current: DataFrame, by: Sequence[str] = ()) ->
     bins = sides.groupBy(*by, "feature", "kind", "bin").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     # totals join back instead of a window: a category may have very many bins
     sizes = bins.groupBy(*by, "feature").agg(F.sum("b").alias("tb"), F.sum("c").alias("tc"))
-    both = bins.join(sizes, [*by, "feature"]).where("tb > 0 and tc > 0")
-    p, q = F.col("b") / F.col("tb"), F.col("c") / F.col("tc")
+    if by:
+        whole = sizes.groupBy(*by).agg(F.sum("tb").alias("wb"), F.sum("tc").alias("wc")).where("wb > 0 and wc > 0")
+        sizes = sizes.join(whole.drop("wb", "wc"), list(by))
+    both = bins.join(F.broadcast(sizes) if not by else sizes, [*by, "feature"])  # without by, a row per feature
+    p, q = (F.coalesce(F.try_divide(n, t), F.lit(0.0)) for n, t in (("b", "tb"), ("c", "tc")))
     return both.groupBy(*by, "feature", "kind").agg(
-        jensen_shannon(p, q).alias("_js"), largest_difference(p, q).alias("_diff")
+        jensen_shannon(p, q).alias("_js"), largest_difference(p, q).alias("_diff"),
+        (F.min("tb") * F.min("tc") == 0).alias("_gone")
     ).select(*by, "feature", "kind",
-             F.when(F.col("kind") == "number", F.col("_js")).otherwise(F.col("_diff")).alias("distance"))
+             F.when(F.col("_gone"), F.lit(1.0)).when(F.col("kind") == "number", F.col("_js"))
+             .otherwise(F.col("_diff")).alias("distance"))
 
 
 def skew(training: DataFrame, serving: DataFrame, edges: Mapping[str, Sequence[float]],

@@ -53,7 +53,7 @@ def compare_runs(log: DataFrame, one: str, two: str) -> DataFrame:
             .withColumn("difference", F.col("two") - F.col("one")))
 
 
-def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """Everything the targets were made from: ``(node, depth)``, targets at depth 0.
 
     ``edges`` is ``(execution, direction, artifact)`` with direction "input" or "output";
@@ -68,7 +68,9 @@ def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 1000) -> Da
     frontier = targets.select("node").distinct()
     seen = cut(frontier.withColumn("depth", F.lit(0)))
     frontier = seen.select("node")
-    for depth in range(1, max_rounds + 1):
+    depth = 0
+    while True:  # each node is met once, so the rounds end
+        depth += 1
         # an execution with very many inputs is a hot node: lookup broadcasts or salts
         reached = (lookup(parents, frontier, ["node"], how="inner", written=True)
                    .select(F.col("parent").alias("node")).distinct())
@@ -79,7 +81,6 @@ def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 1000) -> Da
         if depth % 20 == 0:  # keeps the plan of a deep lineage short
             seen = cut(seen)
         frontier = new.select("node")
-    raise ValueError(f"lineage deeper than {max_rounds}")
 
 
 def snapshot(spark: SparkSession, sql: str, prefix: str = "snapshot", folder: str | None = None) -> str:

@@ -26,16 +26,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def table(spark: SparkSession, sf: str, name: str, deal: list[str] | None = None) -> DataFrame:
-    """One of the given tables.
-
-    ``deal`` names key columns by which the rows are dealt out before heavy work per row, should
-    the scan have fewer splits than there are cores. A large table has more and is left as it is.
-    """
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    if deal and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        return df.repartition(spark.sparkContext.defaultParallelism, *deal)
-    return df
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One of the given tables, as the scan deals it out."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 # -- the hashing rules in the oracle's SQL --------------------------------------------------

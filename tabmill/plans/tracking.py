@@ -106,7 +106,7 @@ def _edges(spark, sf):
         return df.select(execution.alias("execution"), F.lit(direction).alias("direction"), artifact.alias("artifact"))
 
     parts = [
-        edge(table(spark, sf, "lineitem", ["l_orderkey"]), name("order", "l_orderkey"), "input", name("part", "l_partkey")),
+        edge(table(spark, sf, "lineitem"), name("order", "l_orderkey"), "input", name("part", "l_partkey")),
         edge(t("orders"), name("order", "o_orderkey"), "output", name("invoice", "o_orderkey")),
         edge(t("orders"), name("bill", "o_custkey"), "input", name("invoice", "o_orderkey")),
         edge(t("customer"), name("bill", "c_custkey"), "output", name("account", "c_custkey")),

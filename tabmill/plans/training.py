@@ -23,7 +23,7 @@ CLASSES = f"case when {PRODUCT} < 0.66 then 0.0D when {PRODUCT} < 1.5 then 1.0D
 
 
 def labelled(spark, sf, label: str):
-    df = table(spark, sf, "lineitem", LINE_KEY).select(*LINE_KEY, "l_returnflag", *COLS)
+    df = table(spark, sf, "lineitem").select(*LINE_KEY, "l_returnflag", *COLS)
     return df.withColumn("label", F.expr(label).cast("double"))
 
 
@@ -110,7 +110,7 @@ def lasso_trials(spark, sf):
 def search(spark, sf):
     """Random trials over a log, an integer and a choice parameter, judged by accuracy."""
     fit, rest = halves(labelled(spark, sf, CLASSES))
-    settings = train.draw({"rate": ("log", 0.01, 0.5), "depth": ("int", 2, 4), "bins": ("choice", [16, 32])}, 4)
+    settings = train.draw({"rate": ("log", 0.01, 0.5), "depth": ("int", 2, 4), "bins": ("choice", [16, 32])}, 16)
     def build(s):
         return train.plain(COLS, RandomForestClassifier(
             maxDepth=s["depth"], maxBins=s["bins"], subsamplingRate=min(1.0, 2 * s["rate"]), numTrees=5, seed=2))
@@ -191,7 +191,7 @@ b as (select d.doc_id, cls.lang, coalesce(score, 0) + ln(cls.n / (select sum(n)
 select doc_id, arg_max(lang, score) as prediction from b group by doc_id""")
 def nb_scores(spark, sf):
     """Naive Bayes on TF-IDF, fitted on 80 % of the documents, the rest scored."""
-    docs = table(spark, sf, "documents", ["doc_id"]).select("doc_id", "text", "lang")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     fit = split.sample(docs, 0.8, ["doc_id"], seed="8")
     rest = split.complement(docs, 0.8, ["doc_id"], seed="8")
     return train.score_text_classes(train.fit_text_classes(fit, "doc_id", "text", "lang"), rest, "doc_id", "text")

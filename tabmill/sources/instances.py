@@ -56,10 +56,11 @@ def _number(c: Column) -> Column:
 
 
 def _placed(values: Column, names: list[str], positions: list[str]) -> Column:
-    """An array by position, in the order of ``names``; a wrong length is left as it is."""
+    """An array by position, in the order of ``names``; a wrong length comes back as one that is always wrong."""
     numbers = F.transform(values, _number)
     ordered = F.array(*[F.get(numbers, F.lit(positions.index(n))) for n in names])
-    return F.when(F.size(values) == len(positions), ordered).otherwise(numbers)
+    wrong = F.array_repeat(F.lit(None).cast("double"), len(names) + 1)
+    return F.when(F.size(values) == len(positions), ordered).otherwise(wrong)
 
 
 def _rows_of(o: Column, names: list[str], positions: list[str]) -> Column:

@@ -81,3 +81,9 @@ def test_nan_is_missing_in_a_summary(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "a double")
     row = evaluate.summary(df).first()
     assert (row.n, row["mean"], row.p50, row["max"]) == (2, 2.0, 2.0, 3.0)
+
+
+def test_a_missing_metric_never_wins(spark):
+    rows = spark.createDataFrame([("one", None), ("three", float("nan")), ("two", 1.0)], "model string, value double")
+    assert [tuple(r) for r in evaluate.best_model(rows, ["one", "two", "three"]).collect()] == [("two", 1.0)]
+    assert evaluate.best_model(rows.where("model <> 'two'"), ["one", "three"]).count() == 0

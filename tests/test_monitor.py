@@ -64,3 +64,10 @@ def test_null_has_a_bin_of_its_own(spark):
     df = spark.createDataFrame([(None, None), (1.0, "")], "score double, c string")
     bins = {(r.feature, r.bin): r.n for r in monitor.histogram(df, {"score": [0.0]}, ["c"]).collect()}
     assert bins == {("score", "-1"): 1, ("score", "1"): 1, ("c", ""): 2}
+
+
+def test_a_vanished_feature_is_as_far_as_can_be(spark):
+    schema = "feature string, kind string, bin string, n long"
+    known = spark.createDataFrame([("a", "category", "x", 5), ("b", "category", "y", 5)], schema)
+    left = spark.createDataFrame([("a", "category", "x", 7)], schema)
+    assert {r.feature: r.distance for r in monitor.compare(known, left).collect()} == {"a": 0.0, "b": 1.0}

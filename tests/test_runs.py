@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from tabmill.operators import evaluate, runs
@@ -27,8 +26,6 @@ def test_lineage_with_a_hot_execution_and_a_cycle(spark):
     got = {r.node: r.depth for r in runs.upstream(df, spark.createDataFrame([("model",)], "node string")).collect()}
     assert got["train"] == 1 and got["clean"] == 2 and got["prep"] == 3 and got["raw7"] == 4 and got["loop"] == 5
     assert "side" not in got and len(got) == 2000 + 5
-    with pytest.raises(ValueError):
-        runs.upstream(df, spark.createDataFrame([("model",)], "node string"), max_rounds=2)
 
 
 def test_snapshots_have_names_of_their_own(spark, tmp_path):

@@ -81,3 +81,10 @@ def test_decimal_load_replaces(spark, tmp_path):
         files.load_csv_table(spark, str(tmp_path / "a.csv"), schema, "loaded_part", str(tmp_path / "table"))
         assert [tuple(r) for r in spark.read.table("loaded_part").collect()] == [("M", Decimal(value))]
     spark.sql("drop table loaded_part")
+
+
+def test_an_array_as_long_as_the_names_but_not_the_positions_is_wrong(spark):
+    lines = spark.createDataFrame([('{"dense_input": [1, 2]}',), ('{"dense_input": [0, 1, 2]}',)], "value string")
+    got = {r.value: (r.row, r.reason) for r in instances.route(lines, ["a", "b"], ["x", "a", "b"]).collect()}
+    assert got['{"dense_input": [1, 2]}'][1] == "wrong length"
+    assert got['{"dense_input": [0, 1, 2]}'] == ([1.0, 2.0], None)
