@@ -270,6 +270,17 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
+def cut_clean(df: DataFrame) -> DataFrame:
+    """Write and go on from what was written; the exchanges of the write are deleted with its end."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return cut(df)
+    finally:
+        conf.set(name, before)
+
+
 def still_apart(members: DataFrame, links: DataFrame) -> DataFrame:
     """Of ``key, h``: the buckets that hold sets of several components, ``key, h, root, many``."""
     placed = members.join(components(links).withColumnRenamed("node", "h"), "h", "left").select(
@@ -342,8 +353,9 @@ def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT
                                                        F.first("sketch").alias("sketch"))
     own = cut(own)
     entries = whole.where("h is not null").select(F.explode("keys").alias("key"), "h")
-    heads = entries.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo")
-    members = cut(entries.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
+    # written apart, so that the exchange of all entries is gone from the disks before they are exchanged again
+    heads = cut_clean(entries.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
+    members = cut_clean(entries.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
     stars = cut(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
     links = verified(stars, own, docs, width, limit)
     left = still_apart(members.drop("lo"), links)
