@@ -36,7 +36,7 @@ KNOWN = 1_000_000      # words of which a worker remembers the hash
 # Fixed odd multipliers of a published 64-bit mixer
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
-SETS = "doc_id long, n int, h long, keys array<long>, sketch binary"
+SETS = "doc_id long, n int, h long, sketch binary"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -179,9 +179,8 @@ def fold(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
-    """Set size, set hash, index keys and sketch of every document, written once."""
-    # sets per band, by the length of their text: a row per band comes here
+def banded(docs: DataFrame, limit: tuple[int, int]) -> dict[int, tuple[int, int, bool]]:
+    """How each band is indexed, by the number of its sets as the length of their texts tells: a row per band comes here."""
     n = F.greatest(F.lit(1.0), F.octet_length(F.col("text").cast("string")) / WORD_BYTES)
     step = 2 * math.log(limit[1] / limit[0])
     sizes = docs.where("text is not null").groupBy(F.floor(F.log(n) / step).alias("size")).count().collect()
@@ -189,9 +188,17 @@ def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
     for r in sizes:
         for number in bands(max(1, round(math.exp(r["size"] * step))), limit):
             many[number] = many.get(number, 0) + r["count"]
-    plan = {number: allocation(number, n, limit) for number, n in many.items()}
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("keys", pa.list_(pa.int64())),
-                        ("sketch", pa.binary())])
+    return {number: allocation(number, n, limit) for number, n in many.items()}
+
+
+def set_hash(values: np.ndarray) -> int:
+    with np.errstate(over="ignore"):
+        return int(mix(np.array([mix(values ^ STEP).sum() + np.uint64(len(values))])).view(np.int64)[0])
+
+
+def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
+    """Set size, set hash and sketch of every document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,16 +206,37 @@ def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
                 rows = []
                 for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
                     values = shingle_hashes(words(text), width)
-                    if not len(values):
-                        rows.append((key, 0, None, None, None))
-                        continue
-                    with np.errstate(over="ignore"):
-                        whole = mix(np.array([mix(values ^ STEP).sum() + np.uint64(len(values))]))
-                    rows.append((key, len(values), int(whole.view(np.int64)[0]),
-                                 index_keys(values, limit, plan).view(np.int64), sketch(values, limit)))
+                    rows.append((key, len(values), set_hash(values), sketch(values, limit)) if len(values) else (key, 0, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return cut(texts(docs).mapInArrow(run, SETS))
+    return texts(docs).mapInArrow(run, SETS)
+
+
+def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int, tuple[int, int, bool]]) -> DataFrame:
+    """The index, ``key, h``: made from the texts whenever it is read, as it is several times larger than they are.
+
+    A task gives the keys of a set once, as long as it remembers the set; what it forgets is only given again.
+    """
+    schema = pa.schema([("key", pa.int64()), ("h", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        for batch in batches:
+            for some in slices(batch, 64):
+                keys, hs = [], []
+                for text in some.column(0).to_pylist():
+                    values = shingle_hashes(words(text), width)
+                    if not len(values) or (h := set_hash(values)) in given:
+                        continue
+                    if len(given) >= KNOWN:
+                        given.clear()
+                    given.add(h)
+                    keys.append(index_keys(values, limit, plan).view(np.int64))
+                    hs.append(np.full(len(keys[-1]), h, np.int64))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, hs)], schema=schema)
+
+    return docs.select(F.col("text").cast("string").alias("text")).where("text is not null").mapInArrow(run, "key long, h long")
 
 
 def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
@@ -348,14 +376,14 @@ def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT
     paired; repeated rows and ids are in one class. A null id takes the smallest id of its component, if any. An empty table
     gives no rows; other columns are not read. Sets are told apart by 64-bit hashes; links are verified on words.
     """
-    whole = sets(docs, width, limit)
+    whole = cut(sets(docs, width, limit))
     own = whole.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                        F.first("sketch").alias("sketch"))
     own = cut(own)
-    entries = whole.where("h is not null").select(F.explode("keys").alias("key"), "h")
+    index = entries(docs, width, limit, banded(docs, limit))
     # written apart, so that the exchange of all entries is gone from the disks before they are exchanged again
-    heads = cut_clean(entries.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
-    members = cut_clean(entries.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
+    heads = cut_clean(index.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
+    members = cut_clean(index.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
     stars = cut(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
     links = verified(stars, own, docs, width, limit)
     left = still_apart(members.drop("lo"), links)
