@@ -31,7 +31,7 @@ LARGE = 64             # sets from which a bucket is large
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
 CHECK_COST = 0.02      # cost of comparing the sketches of two sets of a bucket, in index entries
 WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
-KNOWN = 1_000_000      # words of which a worker remembers the hash
+KNOWN = 200_000        # words of which a worker remembers the hash, and sets whose keys a task has given
 
 # Fixed odd multipliers of a published 64-bit mixer
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
