@@ -150,8 +150,15 @@ def area_under_pr(df: DataFrame, label: str, score: str) -> DataFrame:
 # -- comparing and gating ------------------------------------------------------------------
 
 def pair_with_truth(predictions: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Predictions next to their labels, by row key: files have no order to rely on."""
-    return predictions.join(truth, list(key))
+    """Predictions next to their labels, by row key: files have no order to rely on.
+
+    No row is lost: ``status`` is "paired", "unlabelled" for a prediction without a label, "unpredicted" for a label without
+    a prediction. A null key pairs with nothing. A key held by several rows of a side is paired with each.
+    """
+    left = predictions.withColumn("_p", F.lit(True))
+    right = truth.withColumn("_t", F.lit(True))
+    status = F.when(F.col("_t").isNull(), "unlabelled").when(F.col("_p").isNull(), "unpredicted").otherwise("paired")
+    return left.join(right, list(key), "full").withColumn("status", status).drop("_p", "_t")
 
 
 def gate(metrics: DataFrame, limits: Mapping[str, tuple[str, float]]) -> DataFrame:

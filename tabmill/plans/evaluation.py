@@ -210,10 +210,10 @@ def best_model(spark, sf):
 
 
 @query(f"""
-with p as (select o_orderkey, o_totalprice as label, cast(o_custkey * 100 as double) as prediction from orders)
-select o_orderkey, label, prediction from p""")
+select o_orderkey, case when o_orderstatus <> 'O' then o_totalprice end as label, cast(o_custkey * 100 as double) as prediction,
+  case when o_orderstatus <> 'O' then 'paired' else 'unlabelled' end as status from orders""")
 def predictions_joined(spark, sf):
-    """Prediction lines of both forms are written, read back by pattern and joined on the key."""
+    """Prediction lines of both forms are written, read back by pattern and joined on the key; open orders have no label yet."""
     orders = table(spark, sf, "orders")
     value = (F.col("o_custkey") * 100).cast("string")
     body = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit('{"value": '), value, F.lit("}"))).otherwise(
@@ -224,8 +224,8 @@ def predictions_joined(spark, sf):
     orders.select(line.alias("value")).write.text(path)
     schema = T.StructType([T.StructField("o_orderkey", T.LongType())])
     read = parse_predictions(spark.read.option("pathGlobFilter", "part-*").text(path), schema)
-    truth = orders.select("o_orderkey", F.col("o_totalprice").alias("label"))
-    return evaluate.pair_with_truth(read, truth, ["o_orderkey"]).select("o_orderkey", "label", "prediction")
+    truth = orders.where("o_orderstatus <> 'O'").select("o_orderkey", F.col("o_totalprice").alias("label"))
+    return evaluate.pair_with_truth(read, truth, ["o_orderkey"]).select("o_orderkey", "label", "prediction", "status")
 
 
 # -- summaries -----------------------------------------------------------------------------------

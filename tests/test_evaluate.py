@@ -87,3 +87,12 @@ def test_a_missing_metric_never_wins(spark):
     rows = spark.createDataFrame([("one", None), ("three", float("nan")), ("two", 1.0)], "model string, value double")
     assert [tuple(r) for r in evaluate.best_model(rows, ["one", "two", "three"]).collect()] == [("two", 1.0)]
     assert evaluate.best_model(rows.where("model <> 'two'"), ["one", "three"]).count() == 0
+
+
+def test_unmatched_predictions_and_labels_are_kept(spark):
+    predictions = spark.createDataFrame([(1, 0.5), (2, 0.7), (None, 0.1)], "k long, prediction double")
+    truth = spark.createDataFrame([(1, 1.0), (3, 0.0), (None, 1.0)], "k long, label double")
+    got = evaluate.pair_with_truth(predictions, truth, ["k"]).select("k", "prediction", "label", "status").collect()
+    assert {tuple(r) for r in got} == {(1, 0.5, 1.0, "paired"), (2, 0.7, None, "unlabelled"), (None, 0.1, None, "unlabelled"),
+                                       (3, None, 0.0, "unpredicted"), (None, None, 1.0, "unpredicted")}
+    assert len(got) == 5
