@@ -75,12 +75,11 @@ def as_of(reads: DataFrame, history: DataFrame, entity: str, at: str,
           features: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """For each read (entity, time) the newest history row at or before that time.
 
-    Both sides go to one shuffle by entity and one sort. An entity with more than
-    ``rows_per_slice`` rows is first cut into time slices of about that many, so one that holds a
-    third of all rows is the work of many tasks. What a slice inherits from earlier ones is one
-    row, found over the slice summaries of those entities only; it enters as the slice's first
-    row. All reads come back; an unknown entity gives nulls. Rows of one entity and time always
-    share a slice: use ``last_write`` first where very many do.
+    Both sides go to one shuffle by entity and one sort. Entities with more than
+    ``rows_per_slice`` rows are set apart and dealt by (entity, time) into ranges of equal numbers
+    of rows, so neither a third of all rows nor a burst within a second is the work of one task.
+    What a range inherits from earlier ones is one row per entity, found over summaries of the
+    ranges. All reads come back; a null or unknown entity, or a null time, gives nulls.
     """
     features = _features(history, features)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
@@ -88,67 +87,60 @@ def as_of(reads: DataFrame, history: DataFrame, entity: str, at: str,
     past = history.where(F.col(ENTITY).isNotNull() & F.col(TIME).isNotNull()).select(
         F.col(ENTITY).alias("_e"), micros(TIME).alias("_t"),
         F.lit(0).alias("_side"), F.col(INGEST).alias("_o"), pack.alias("_pack"))
-    asked = reads.select(
+    whole = F.struct(*reads.columns)
+    known = F.col(entity).isNotNull() & F.col(at).cast("timestamp").isNotNull()
+    asked = reads.where(known).select(
         F.col(entity).cast("string").alias("_e"), micros(at).alias("_t"), F.lit(1).alias("_side"),
-        F.lit(0).cast("long").alias("_o"), F.struct(*reads.columns).alias("_read"))
+        F.lit(0).cast("long").alias("_o"), whole.alias("_read"))
     both = past.unionByName(asked, allowMissingColumns=True)
-    widths = _slice_widths(both, rows_per_slice)
-    if widths is None:
-        sliced = both.withColumn("_slice", F.lit(0).cast("long"))
+    # counting reads the keys only; there are at most (all rows / rows_per_slice) hot entities
+    hot = both.groupBy("_e").agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_slice)
+    if hot.isEmpty():
+        found = _last_before(both, ["_e"])
     else:
-        slice_ = F.coalesce(F.floor(F.col("_t") / F.col("_width")), F.lit(0)).cast("long")
-        sliced = lookup(both, widths, ["_e"], written=True).withColumn("_slice", slice_)
-        sliced = sliced.unionByName(_inherited(sliced).select("_e", "_side", "_slice", "_pack"),
-                                    allowMissingColumns=True)
-    # nulls sort first: the inherited row leads its slice
-    order = Window.partitionBy("_e", "_slice").orderBy(
-        F.col("_t").asc_nulls_first(), "_side", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    found = sliced.withColumn("_found", F.last("_pack", ignorenulls=True).over(order)).where("_side = 1")
+        hot = cut(hot)
+        marked = lookup(both, hot, ["_e"], written=True)
+        ranges = _equal_ranges(marked.where("_n is not null").drop("_n"), hot, rows_per_slice)
+        carried = ranges.unionByName(_inherited(ranges), allowMissingColumns=True)
+        cool = _last_before(marked.where("_n is null").drop("_n"), ["_e"])
+        found = cool.unionByName(_last_before(carried, ["_range", "_e"]))
+    nowhere = reads.where(~known).select(whole.alias("_read"))
+    found = found.unionByName(nowhere, allowMissingColumns=True)
     return found.select("_read.*", F.col(f"_found.{TIME}").alias(TIME),
                         *[F.col(f"_found.{f}").alias(f) for f in features])
 
 
-def _slice_widths(both: DataFrame, rows_per_slice: int) -> DataFrame | None:
-    """Slice width in microseconds of each entity with too many rows for one task, if any.
+def _last_before(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``_read, _found`` of each read: the last history row that sorts before it."""
+    # nulls sort first: an inherited row leads its range
+    order = Window.partitionBy(*by).orderBy(
+        F.col("_t").asc_nulls_first(), "_side", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn("_found", F.last("_pack", ignorenulls=True).over(order))
+            .where("_side = 1").select("_read", "_found"))
+
 
-    There are at most (all rows / rows_per_slice) of them. Counting reads keys and times only.
+def _equal_ranges(rows: DataFrame, hot: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Rows with the number of their range in the order of entity, time and side, written once.
+
+    Rows of one entity and time are told apart by a hash of their values, so they may lie in
+    several ranges too.
     """
-    span = F.max("_t") - F.min("_t") + 1
-    hot = (both.groupBy("_e").agg(F.count("*").alias("n"), span.alias("span"))
-           .where((F.col("n") > rows_per_slice) & F.col("_e").isNotNull()))
-    widths = cut(hot.select("_e", F.greatest(
-        F.lit(1), F.floor(F.col("span") / F.ceil(F.col("n") / rows_per_slice))).cast("long").alias("_width")))
-    return None if widths.isEmpty() else widths
+    count = 1 + 2 * (hot.agg(F.sum("_n")).first()[0] // rows_per_slice)
+    tie = F.xxhash64(F.to_json("_pack"), F.to_json("_read"))
+    dealt = rows.withColumn("_tie", tie).repartitionByRange(count, "_e", "_t", "_side", "_o", "_tie")
+    return cut(dealt.withColumn("_range", F.spark_partition_id()).drop("_tie"))
 
 
-def _inherited(sliced: DataFrame) -> DataFrame:
-    """For each slice that is read, the newest history row of the slices before it."""
+def _inherited(ranges: DataFrame) -> DataFrame:
+    """For each range and entity, the newest history row of the ranges before it."""
     event = F.col("_side") == 0
-    summaries = (sliced.where("_width is not null").groupBy("_e", "_slice").agg(
-        F.max_by(F.when(event, F.col("_pack")), F.when(event, F.struct("_t", "_o"))).alias("_last"),
-        F.max("_side").alias("_asked")))
-    # per entity one row per slice, which is few by the choice of the width
-    before = (Window.partitionBy("_e").orderBy("_slice")
+    summaries = ranges.groupBy("_e", "_range").agg(
+        F.max_by(F.when(event, F.col("_pack")), F.when(event, F.struct("_t", "_o"))).alias("_last"))
+    # one row per entity and range
+    before = (Window.partitionBy("_e").orderBy("_range")
               .rowsBetween(Window.unboundedPreceding, -1))
     return (summaries.withColumn("_pack", F.last("_last", ignorenulls=True).over(before))
-            .where("_asked = 1 and _pack is not null").withColumn("_side", F.lit(-1)))
-
-
-def as_of_by_range(reads: DataFrame, history: DataFrame, entity: str, at: str,
-                   features: Sequence[str] | None = None) -> DataFrame:
-    """The same answer by a range join; kept as a check for ``as_of`` on small data.
-
-    Reads must be distinct.
-    """
-    features = _features(history, features)
-    r, h = reads.alias("r"), history.alias("h")
-    hit = (F.col(f"r.{entity}").cast("string") == F.col(f"h.{ENTITY}")) & (
-        F.col(f"h.{TIME}") <= F.col(f"r.{at}").cast("timestamp"))
-    joined = r.join(h, hit, "left")
-    packed = F.struct(F.col(f"h.{TIME}").alias(TIME), *[F.col(f"h.{f}").alias(f) for f in features])
-    return (joined.groupBy(*[F.col(f"r.{c}") for c in reads.columns])
-            .agg(F.max_by(packed, F.struct(F.col(f"h.{TIME}"), F.col(f"h.{INGEST}"))).alias("f"))
-            .select(*reads.columns, "f.*"))
+            .where("_pack is not null").select("_e", "_range", "_pack", F.lit(-1).alias("_side")))
 
 
 def write_reads(df: DataFrame, table: str) -> None:
