@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabmill.functions.order import exact_quantiles, running_totals
@@ -217,3 +219,9 @@ def feature_importance(model, names: Sequence[str], spark) -> DataFrame:
     weights = model.featureImportances.toArray()
     return spark.createDataFrame([(n, float(w)) for n, w in zip(names, weights)],
                                  "feature string, importance double")
+
+
+def contributions(df: DataFrame, model: LinearRegressionModel | LogisticRegressionModel,
+                  features: Sequence[str]) -> DataFrame:
+    """Per row what each feature adds to a linear model's margin, ``by_<feature>``: weight times value."""
+    return df.withColumns({f"by_{f}": F.col(f) * F.lit(float(w)) for f, w in zip(features, model.coefficients)})

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tabmill.functions import hashing
 from tabmill.operators import evaluate, features as feat, score, split, train
 from tabmill.plans.prepare import LINE_KEY, RARE
-from tabmill.plans.registry import query, table
+from tabmill.plans.registry import query, sql_in_fraction, table
 from tabmill.session import fresh_path
 
 COLS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
@@ -166,6 +167,162 @@ def stored_scores(spark, sf):
     return spark.read.schema(schema).json(folder)
 
 
+# -- fits whose answer is known ----------------------------------------------------------------
+
+STEP = "case when l_quantity > 25 then 1.0 else 0.0 end"
+_key = ", ".join(LINE_KEY)
+_step = f"select {_key}, cast({STEP} as double) as prediction from lineitem"
+
+
+def _values(rows: list[tuple]) -> str:
+    text = lambda v: f"{v!r}::double" if isinstance(v, float) else repr(v)
+    return ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+
+
+def stepped(spark, sf):
+    """A label that one cut of one column decides: 50 quantities are fewer than the 64 bins of a tree."""
+    return labelled(spark, sf, STEP)
+
+
+def rest_of(df, seed="9"):
+    """Four fifths to fit, the others, by row hash."""
+    return split.sample(df, 0.8, LINE_KEY, seed=seed), split.complement(df, 0.8, LINE_KEY, seed=seed)
+
+
+_unseen = f"not {sql_in_fraction(0.8, *LINE_KEY, seed='9')}"
+
+
+@query(f"{_step} where {_unseen}")
+def gbt_step(spark, sf):
+    """Boosted trees find the cut: every unseen row gets its label."""
+    fit, rest = rest_of(stepped(spark, sf))
+    with train.held(fit) as fit:
+        gbt = train.boosted_trees(depth=3, rounds=5).setMaxBins(64)
+        model = train.plain(COLS, gbt).fit(fit)
+    return model.transform(rest).select(*LINE_KEY, "prediction")
+
+
+@query("select * from (values " + _values([(c, float(c == "l_quantity")) for c in COLS]) + ") as t(feature, importance)")
+def gbt_step_importance(spark, sf):
+    """With a validation share in the fit; the column of the cut has all the importance."""
+    marked = stepped(spark, sf).withColumn("held_out", hashing.in_fraction(0.2, *LINE_KEY))
+    with train.held(marked) as marked:
+        gbt = train.boosted_trees(depth=1, rounds=5, validation="held_out").setMaxBins(64)
+        model = train.plain(COLS, gbt).fit(marked)
+    found = evaluate.feature_importance(model.stages[-1], COLS, spark)
+    return found.select("feature", F.round("importance", 6).alias("importance"))
+
+
+@query(f"select {_key}, cast(l_linenumber - 1 as double) as prediction from lineitem where {_unseen}")
+def seven_classes(spark, sf):
+    """Seven classes, one boosted model against the rest for each."""
+    lines = table(spark, sf, "lineitem").select(
+        *LINE_KEY, (F.col("l_linenumber") - 1).cast("double").alias("label"),
+        F.col("l_linenumber").cast("double").alias("place"), "l_tax")
+    fit, rest = rest_of(lines)
+    with train.held(fit) as fit:
+        model = train.plain(["place", "l_tax"], train.boosted_classes(depth=3, rounds=3)).fit(fit)
+    return model.transform(rest).select(*LINE_KEY, "prediction")
+
+
+@query(f"{_step} where {_unseen}")
+def tree_regressor_step(spark, sf):
+    fit, rest = rest_of(stepped(spark, sf))
+    with train.held(fit) as fit:
+        model = train.plain(COLS, train.tree_regressor(depth=3, rounds=5).setMaxBins(64)).fit(fit)
+    return model.transform(rest).select(*LINE_KEY, F.round("prediction", 6).alias("prediction"))
+
+
+@query(f"{_step}")
+def oof_step(spark, sf):
+    """Out of fold: every row gets its label from a model that has not seen it."""
+    tree = DecisionTreeClassifier(maxDepth=3, maxBins=64, seed=2)
+    scored = train.out_of_fold(stepped(spark, sf).select(*LINE_KEY, *COLS, "label"), LINE_KEY, train.plain(COLS, tree))
+    return scored.select(*LINE_KEY, "prediction")
+
+
+@query(f"{_step} where {_unseen}")
+def stored_step(spark, sf):
+    """Column spec, tree, stored, loaded, and scores written to and read from files."""
+    fit, rest = rest_of(stepped(spark, sf))
+    spec = feat.feature_pipeline(fit, numeric=COLS[:2], auto=["l_tax", "l_returnflag"], label="label")
+    with train.held(fit) as fit:
+        model = Pipeline(stages=[spec, DecisionTreeClassifier(maxDepth=3, maxBins=64, seed=2)]).fit(fit)
+    root = fresh_path(spark, "models")
+    model.save(f"{root}/model")
+    folder = score.write_predictions(score.score_with(f"{root}/model", rest, LINE_KEY), root, "lines")
+    schema = ", ".join(f"{c} long" for c in LINE_KEY) + ", prediction double"
+    return spark.read.schema(schema).json(folder)
+
+
+@query("select * from (values " + _values([("l_quantity", 2.0), ("l_discount", -3.0), ("l_tax", 5.0), ("", 7.0)])
+       + ") as t(feature, weight)")
+def linear_weights(spark, sf):
+    """Least squares finds the weights that made the target; the empty name is the intercept."""
+    df = labelled(spark, sf, "2 * l_quantity - 3 * l_discount + 5 * l_tax + 7")
+    names = ["l_quantity", "l_discount", "l_tax"]
+    with train.held(df) as df:
+        model = train.plain(names, LinearRegression(regParam=0.0, solver="normal")).fit(df).stages[-1]
+    rows = [*zip(names, map(float, model.coefficients)), ("", model.intercept)]
+    return spark.createDataFrame(rows, "feature string, weight double").withColumn("weight", F.round("weight", 6))
+
+
+@query(f"""select {_key}, round(2 * l_quantity, 4) as by_quantity, round(-3 * l_discount, 4) + 0.0::double as by_discount,
+  round(5 * l_tax, 4) as by_tax from lineitem where {_unseen}""")
+def linear_contributions(spark, sf):
+    """What each feature of an unseen row adds to its prediction: weight times value."""
+    df = labelled(spark, sf, "2 * l_quantity - 3 * l_discount + 5 * l_tax + 7")
+    names = ["l_quantity", "l_discount", "l_tax"]
+    fit, rest = rest_of(df)
+    with train.held(fit) as fit:
+        model = train.plain(names, LinearRegression(regParam=0.0, solver="normal")).fit(fit).stages[-1]
+    shares = evaluate.contributions(rest, model, names)
+    return shares.select(*LINE_KEY, *[(F.round(F.col(f"by_{n}"), 4) + F.lit(0.0)).alias(f"by_{n[2:]}") for n in names])
+
+
+TRIALS = train.draw({"rate": ("log", 0.01, 0.5), "depth": ("int", 1, 4), "bins": ("choice", [64, 128])}, 16, seed=5)
+
+
+@query("select run, kind, key, value from (values " + _values(
+    [(f"trial-{i}", "param", k, float(v)) for i, t in enumerate(TRIALS) for k, v in t.items()]
+    + [(f"trial-{i}", "metric", "accuracy", 1.0) for i in range(len(TRIALS))]) + ") as t(run, kind, key, value)")
+def search_step(spark, sf):
+    """Sixteen trials, four at a time, of settings that all can learn the step."""
+    fit, rest = rest_of(stepped(spark, sf))
+
+    def build(s):
+        return train.plain(["l_quantity"], GBTClassifier(
+            stepSize=s["rate"], maxDepth=s["depth"], maxBins=s["bins"], maxIter=1, seed=2))
+
+    log, _ = train.search(fit, rest, TRIALS, build, MulticlassClassificationEvaluator(metricName="accuracy"))
+    return log.select("run", "kind", "key", "value")
+
+
+@query(f"select {_key}, cast(case when l_linestatus = 'O' then 1.0 else 0.0 end as double) as prediction from lineitem where {_unseen}")
+def mlp_two_inputs(spark, sf):
+    """The feed-forward classifier learns a function of a 0/1 input."""
+    lines = table(spark, sf, "lineitem").select(
+        *LINE_KEY, (F.col("l_linestatus") == "O").cast("double").alias("label"),
+        *[(F.col("l_linestatus") == v).cast("double").alias(f"is_{v}") for v in "OF"])
+    fit, rest = rest_of(lines)
+    with train.held(fit) as fit:
+        model = train.scaled(["is_O", "is_F"], train.perceptron(2, (16, 8, 4), 2, 60)).fit(fit)
+    return model.transform(rest).select(*LINE_KEY, "prediction")
+
+
+@query(f"select {_key}, cast(case l_returnflag when 'A' then 0.0 when 'N' then 1.0 else 2.0 end as double) as prediction "
+       f"from lineitem where {_unseen}")
+def mlp_three_flags(spark, sf):
+    """Three classes, hidden 8-8, from 0/1 inputs."""
+    lines = table(spark, sf, "lineitem").select(
+        *LINE_KEY, F.expr("case l_returnflag when 'A' then 0.0D when 'N' then 1.0D else 2.0D end").alias("label"),
+        *[(F.col("l_returnflag") == v).cast("double").alias(f"is_{v}") for v in "ANR"])
+    fit, rest = rest_of(lines)
+    with train.held(fit) as fit:
+        model = train.scaled(["is_A", "is_N", "is_R"], train.perceptron(3, (8, 8), 3, 60)).fit(fit)
+    return model.transform(rest).select(*LINE_KEY, "prediction")
+
+
 # -- text classes ---------------------------------------------------------------------------------
 
 _part = "cast('0x' || substr(md5(concat_ws('#', '8', cast(doc_id as varchar))), 1, 8) as bigint) < 3435973837"
