@@ -68,6 +68,13 @@ def vocabulary_encode(df: DataFrame, col: str, vocab: DataFrame, out: str) -> Da
     return lookup(df, table, [col]).withColumn(out, slot).drop("_slot")
 
 
+def slot_vector(slot: Column | str, size: int) -> Column:
+    """Binary encoding of an array of integer slots: ``size`` entries of 0 and 1, where ``size`` is that of the vocabulary."""
+    slot = F.col(slot) if isinstance(slot, str) else slot
+    places = F.sequence(F.lit(0), F.lit(size - 1))
+    return F.transform(places, lambda i: F.array_contains(slot, i).cast("int"))
+
+
 def category_values(df: DataFrame, col: str) -> list:
     """Sorted distinct values that will become columns, a column each: for wide columns use ``label_encode``."""
     rows = df.select(col).where(F.col(col).isNotNull()).distinct().collect()

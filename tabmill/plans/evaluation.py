@@ -8,7 +8,7 @@ from tabmill.operators import clean, evaluate, features as feat, score, split
 from tabmill.operators.train import regression_line
 from tabmill.plans.prepare import LINE_KEY, SQL_LINES, lines
 from tabmill.plans.registry import query, sql_bucket, sql_cents, sql_in_fraction, table
-from tabmill.sources.files import parse_predictions
+from tabmill.sources.files import read_predictions
 from tabmill.session import fresh_path
 
 # -- the flagship flow ------------------------------------------------------------------------
@@ -223,7 +223,7 @@ def predictions_joined(spark, sf):
     path = fresh_path(spark, "predictions")
     orders.select(line.alias("value")).write.text(path)
     schema = T.StructType([T.StructField("o_orderkey", T.LongType())])
-    read = parse_predictions(spark.read.option("pathGlobFilter", "part-*").text(path), schema)
+    read = read_predictions(spark, path, schema, "part-*")
     truth = orders.where("o_orderstatus <> 'O'").select("o_orderkey", F.col("o_totalprice").alias("label"))
     return evaluate.pair_with_truth(read, truth, ["o_orderkey"]).select("o_orderkey", "label", "prediction", "status")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from tabmill.operators import feature_store as store
 from tabmill.plans.registry import query, sql_cents, table
+from tabmill.session import fresh_path
 
 
 def k_of():
@@ -141,6 +142,14 @@ def snapshot_bins(spark, sf):
     return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), F.col("g0").alias("bin"), "entities")
 
 
+@query(_asof)
+def stored_reads(spark, sf):
+    """The point-in-time read saved as a catalog table that must not exist yet."""
+    name = "reads_" + fresh_path(spark, "reads").rsplit("-", 1)[1]
+    store.write_reads(store.as_of(_reads(spark, sf), _other(spark, sf), "user_id", "ts"), name)
+    return spark.read.table(name).drop("ts", "feature_time")
+
+
 @query(_asof.replace("select r.read_id, cast(r.user_id as varchar) as user_id, h.event_id, h.value, h.k",
                      "select r.read_id, h.value") + " where h.event_id is not null")
 def complete_rows(spark, sf):

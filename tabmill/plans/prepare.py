@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tabmill.functions import hashing
 from tabmill.functions.text import PUNCTUATION, plain
+from tabmill.functions.order import running_totals
 from tabmill.operators import clean, features as feat, split
 from tabmill.plans.registry import (query, sql_bucket, sql_cents, sql_digest, sql_in_fraction,
                                     sql_int, table)
@@ -209,6 +210,13 @@ def shuffled_head(spark, sf):
     return head.select(F.row_number().over(Window.orderBy(spot)).cast("long").alias("pos"), "o_orderkey")
 
 
+@query(f"select o_orderkey, row_number() over (order by {sql_digest('o_orderkey', seed='2')}) as pos from orders")
+def shuffled_order(spark, sf):
+    """The whole seeded order, numbered in parallel."""
+    orders = table(spark, sf, "orders").select("o_orderkey", hashing.digest("o_orderkey", seed="2").alias("spot"))
+    return running_totals(orders, ["spot"], {"pos": F.lit(1)}).select("o_orderkey", F.col("pos").cast("long").alias("pos"))
+
+
 # -- features -------------------------------------------------------------------------------
 
 @query("""
@@ -250,6 +258,32 @@ def vocabulary_slots(spark, sf):
     return feat.vocabulary_encode(df, "nation", vocab, "slot").select("c_custkey", "slot")
 
 
+@query(f"""
+with t as (select *, {sql_in_fraction(0.5, 'c_custkey', seed='2')} as train from customer),
+v as (select c_nationkey, 1 + row_number() over (order by count(*) desc, cast(c_nationkey as varchar)) as slot
+      from t where train group by c_nationkey),
+z as (select max(slot) + 1 as size from v)
+select c_custkey, repeat('0', coalesce(slot, 1)) || '1' || repeat('0', size - coalesce(slot, 1) - 1) as bits
+from t cross join z left join v using (c_nationkey)""")
+def vocabulary_vector(spark, sf):
+    """Binary encoding: as many 0/1 entries as values, and two more for masked and unseen ones."""
+    df = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("nation"))
+    vocab = feat.vocabulary(split.sample(df, 0.5, ["c_custkey"]), ["nation"])
+    size = vocab.agg(F.max("size")).first()[0]
+    slots = feat.vocabulary_encode(df, "nation", vocab, "slot")
+    bits = feat.slot_vector(F.array(F.col("slot").cast("int")), size)
+    return slots.select("c_custkey", F.array_join(bits.cast("array<string>"), "").alias("bits"))
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("select c_custkey, " + ", ".join(f"cast(c_mktsegment = '{v}' as integer) as \"{v}\"" for v in SEGMENTS) + " from customer")
+def one_hot_found(spark, sf):
+    """A column per value, the values found in the data."""
+    return feat.one_hot(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"])
+
+
 _train_orders = sql_in_fraction(0.8, "o_orderkey", seed="2")
 
 
