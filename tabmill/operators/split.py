@@ -20,18 +20,18 @@ from tabmill.functions.order import hash_cutoffs, order_statistics, sizes
 Keys = Sequence[str]
 
 
-def sample(df: DataFrame, fraction: float, key: Keys, seed: str = "2", fast: bool = False) -> DataFrame:
+def sample(df: DataFrame, fraction: float, key: Keys, seed: str = "2", fast: bool = True) -> DataFrame:
     """Seeded sample of about ``fraction`` of the keys."""
     return df.where(hashing.in_fraction(fraction, *key, seed=seed, fast=fast))
 
 
-def complement(df: DataFrame, fraction: float, key: Keys, seed: str = "2", fast: bool = False) -> DataFrame:
+def complement(df: DataFrame, fraction: float, key: Keys, seed: str = "2", fast: bool = True) -> DataFrame:
     """The rows ``sample`` leaves out: no join needed, the rule is on the row itself."""
     return df.where(~hashing.in_fraction(fraction, *key, seed=seed, fast=fast))
 
 
 def undersample(df: DataFrame, label: str, minority, fraction: float, key: Keys,
-                seed: str = "2", fast: bool = False) -> DataFrame:
+                seed: str = "2", fast: bool = True) -> DataFrame:
     """All rows of the minority class and a sample of the others, in one filter."""
     return df.where((F.col(label) == F.lit(minority))
                     | hashing.in_fraction(fraction, *key, seed=seed, fast=fast))
@@ -100,7 +100,7 @@ def stratified(df: DataFrame, label: str, key: Keys, shares: Sequence[float] = (
 
 def fractions(df: DataFrame, key: Keys, shares: Sequence[float] = (0.8, 0.1, 0.1),
               names: Sequence[str] = ("train", "validate", "test"), seed: str = "2",
-              out: str = "split", fast: bool = False) -> DataFrame:
+              out: str = "split", fast: bool = True) -> DataFrame:
     """Shares in expectation, decided row by row; ``fast`` as in ``hashing.in_fraction``."""
     spot = hashing.fast_hash(*key, seed=seed) if fast else hashing.digest(*key, seed=seed)
     below = hashing.fast_below if fast else hashing.below
@@ -130,12 +130,13 @@ def chronological(df: DataFrame, time: str, shares: Sequence[float] = (0.8, 0.9)
     return df.withColumn(out, label.otherwise(names[-1]))
 
 
-def content_split(df: DataFrame, cols: Sequence[str] | None = None, out: str = "split") -> DataFrame:
+def content_split(df: DataFrame, cols: Sequence[str] | None = None, out: str = "split", fast: bool = True) -> DataFrame:
     """Split by a hash of the whole row: bucket 9 TEST, 8 VALIDATE, the rest TRAIN.
 
     Equal rows always share a part.
     """
-    spot = hashing.bucket(10, *hashing.content(df, list(cols) if cols else None))
+    number = hashing.fast_bucket if fast else hashing.bucket
+    spot = number(10, *hashing.content(df, list(cols) if cols else None))
     return df.withColumn(
         out, F.when(spot == 9, "TEST").when(spot == 8, "VALIDATE").otherwise("TRAIN"))
 
@@ -145,7 +146,7 @@ def given_split(df: DataFrame, col: str, names: Sequence[str]) -> dict[str, Data
     return {n: df.where(F.col(col) == F.lit(n)) for n in names}
 
 
-def folds(df: DataFrame, k: int, key: Keys, seed: str = "2", out: str = "fold", fast: bool = False) -> DataFrame:
+def folds(df: DataFrame, k: int, key: Keys, seed: str = "2", out: str = "fold", fast: bool = True) -> DataFrame:
     number = hashing.fast_bucket if fast else hashing.bucket
     return df.withColumn(out, number(k, *key, seed=seed).cast("int"))
 

@@ -146,10 +146,10 @@ def search(train: DataFrame, validation: DataFrame, settings: Sequence[Mapping],
 
 
 def out_of_fold(df: DataFrame, key: Sequence[str], estimator: Estimator, k: int = 3,
-                keep: Sequence[str] = ("label",), seed: str = "2") -> DataFrame:
+                keep: Sequence[str] = ("label",), seed: str = "2", fast: bool = True) -> DataFrame:
     """Each row scored by a model that has not seen it."""
     parts = []
-    with held(split.folds(df, k, key, seed=seed)) as folded:
+    with held(split.folds(df, k, key, seed=seed, fast=fast)) as folded:
         for i in range(k):
             model = estimator.fit(folded.where(F.col("fold") != i))
             scored = model.transform(folded.where(F.col("fold") == i))

@@ -33,8 +33,8 @@ from g left join p on g.split = p.split and g.truth = p.label and g.predicted =
 group by g.split, g.truth, g.predicted""")
 def fraud_flow(spark, sf):
     """Under-sample, split by content, scale on TRAIN, clip, score by a rule, count per part."""
-    kept = split.undersample(lines(spark, sf), "label", 1, 0.1, LINE_KEY)
-    marked = split.content_split(kept, _content_cols).select("split", "label", "l_quantity", "l_discount")
+    kept = split.undersample(lines(spark, sf), "label", 1, 0.1, LINE_KEY, fast=False)
+    marked = split.content_split(kept, _content_cols, fast=False).select("split", "label", "l_quantity", "l_discount")
     z = feat.standardize(marked, ["l_quantity", "l_discount"], marked.where("split = 'TRAIN'"))
     rule = clean.clip("l_quantity") + clean.clip("l_discount") > 1.5
     said = z.select("split", "label", rule.cast("int").alias("predicted"))
@@ -265,7 +265,7 @@ def linear_score(spark, sf):
 with r as (select event_id, value, case when {sql_bucket(100, 'event_id')} < 20 then 'new' else 'current' end as side from events)
 select event_id, side, case when side = 'new' then value * 2.0 else value end as score from r""")
 def route_traffic(spark, sf):
-    routed = table(spark, sf, "events").select("event_id", "value", score.route(["event_id"]).alias("side"))
+    routed = table(spark, sf, "events").select("event_id", "value", score.route(["event_id"], fast=False).alias("side"))
     return score.score_routed(routed, "side", F.col("value") * 2.0, F.col("value")).select(
         "event_id", "side", "score")
 

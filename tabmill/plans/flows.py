@@ -19,7 +19,7 @@ from tabmill.session import cut
 def two_model_flow(spark: SparkSession, sf: str) -> DataFrame:
     """Split by content, fit a linear and an automatically chosen model, score both on TEST, pick
     the better by RMSE (the first on a tie) and gate it."""
-    marked = cut(split.content_split(labelled(spark, sf, PRODUCT), [*LINE_KEY, "l_extendedprice"]))
+    marked = cut(split.content_split(labelled(spark, sf, PRODUCT), [*LINE_KEY, "l_extendedprice"], fast=False))
     parts = split.given_split(marked, "split", ["TRAIN", "VALIDATE", "TEST"])
     with train.held(parts["TRAIN"]) as fit:
         linear = train.scaled(COLS, train.lasso(0.01, 5)).fit(fit)
@@ -52,14 +52,14 @@ def retraining_flow(spark: SparkSession, sf: str) -> DataFrame:
     rows = cut(store.as_of(reads, history, "user_id", "ts").drop("ts", "feature_time").dropna("any"))
     side, passed = F.lit("current"), "false"
     if decision["retrain"]:
-        marked = split.fractions(rows, ["event_id"], (0.8, 0.2), ("train", "test"))
+        marked = split.fractions(rows, ["event_id"], (0.8, 0.2), ("train", "test"), fast=False)
         with train.held(marked.where("split = 'train'")) as fit:
             model = train.scaled(["value", "k"], LogisticRegression(maxIter=20)).fit(fit)
         tested = model.transform(marked.where("split = 'test'"))
         metric = tested.agg(evaluate.accuracy("label", "prediction").alias("value")).select(
             F.lit("accuracy").alias("metric"), "value")
         passed = evaluate.gate(metric, {"accuracy": ("min", 0.5)}).first()["decision"]
-        side = score.route(["event_id"], has_current=True) if passed == "true" else side
+        side = score.route(["event_id"], has_current=True, fast=False) if passed == "true" else side
     requests = table(spark, sf, "events").groupBy(side.alias("side")).agg(F.count("*").alias("requests"))
     return requests.select("side", "requests", F.lit(int(decision["anomaly_count"])).cast("long").alias("anomalies"),
                            F.lit(passed).alias("gate"))

@@ -87,7 +87,7 @@ def first_rows(spark, sf):
 @query(f"""
 select o_orderkey, o_totalprice from orders where {sql_in_fraction(0.05, 'o_orderkey', seed='2')}""")
 def seeded_sample(spark, sf):
-    return split.sample(table(spark, sf, "orders"), 0.05, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
+    return split.sample(table(spark, sf, "orders"), 0.05, ["o_orderkey"], fast=False).select("o_orderkey", "o_totalprice")
 
 
 @query(f"""
@@ -99,7 +99,7 @@ codes as (select l_returnflag, dense_rank() over (order by l_returnflag) - 1 as
 select {', '.join(LINE_KEY)}, l_quantity, l_discount, flag_code, label
 from kept join codes using (l_returnflag)""")
 def fraud_prep(spark, sf):
-    kept = split.undersample(lines(spark, sf), "label", 1, 0.1, LINE_KEY)
+    kept = split.undersample(lines(spark, sf), "label", 1, 0.1, LINE_KEY, fast=False)
     kept = kept.select(*LINE_KEY, "l_quantity", "l_discount", "l_returnflag", "label")
     return (feat.label_encode(kept, ["l_returnflag"])
             .withColumnRenamed("l_returnflag_code", "flag_code").drop("l_returnflag"))
@@ -113,7 +113,7 @@ select split, count(*) as n, cast(sum(p_size) as bigint) as sizes from (
   select *, case {sql_bucket(10, *PART_TEXT)} when 9 then 'TEST' when 8 then 'VALIDATE' else 'TRAIN' end as split
   from part) group by split""")
 def split_counts(spark, sf):
-    marked = split.content_split(table(spark, sf, "part"), PART_TEXT)
+    marked = split.content_split(table(spark, sf, "part"), PART_TEXT, fast=False)
     return marked.groupBy("split").agg(F.count("*").alias("n"), F.sum("p_size").alias("sizes"))
 
 
@@ -121,7 +121,7 @@ def split_counts(spark, sf):
 select p_partkey, case {sql_bucket(10, *PART_TEXT)} when 8 then 'EVAL' else 'TRAIN' end as split
 from part where {sql_bucket(10, *PART_TEXT)} <> 9""")
 def relabel_split(spark, sf):
-    marked = split.content_split(table(spark, sf, "part"), PART_TEXT).select("p_partkey", "split")
+    marked = split.content_split(table(spark, sf, "part"), PART_TEXT, fast=False).select("p_partkey", "split")
     return clean.relabel(marked, "split", {"VALIDATE": "EVAL", "TRAIN": "TRAIN"})
 
 
@@ -173,7 +173,7 @@ select o_orderkey, case when {_spot} < {round(0.8 * 2**32)} then 'train'
                         when {_spot} < {round(0.9 * 2**32)} then 'validate' else 'test' end as split
 from orders""")
 def split_fraction(spark, sf):
-    return split.fractions(table(spark, sf, "orders"), ["o_orderkey"]).select("o_orderkey", "split")
+    return split.fractions(table(spark, sf, "orders"), ["o_orderkey"], fast=False).select("o_orderkey", "split")
 
 
 @query(f"""
@@ -182,14 +182,14 @@ union all
 select o_orderkey, 'test' from orders where not {sql_in_fraction(0.8, 'o_orderkey', seed='0')}""")
 def train_complement(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey")
-    train = split.sample(orders, 0.8, ["o_orderkey"], seed="0").withColumn("part", F.lit("train"))
+    train = split.sample(orders, 0.8, ["o_orderkey"], seed="0", fast=False).withColumn("part", F.lit("train"))
     return train.unionByName(
-        split.complement(orders, 0.8, ["o_orderkey"], seed="0").withColumn("part", F.lit("test")))
+        split.complement(orders, 0.8, ["o_orderkey"], seed="0", fast=False).withColumn("part", F.lit("test")))
 
 
 @query(f"select o_orderkey, cast({sql_bucket(3, 'o_orderkey', seed='2')} as integer) as fold from orders")
 def fold_numbers(spark, sf):
-    return split.folds(table(spark, sf, "orders"), 3, ["o_orderkey"]).select("o_orderkey", "fold")
+    return split.folds(table(spark, sf, "orders"), 3, ["o_orderkey"], fast=False).select("o_orderkey", "fold")
 
 
 @query(f"""
@@ -253,7 +253,7 @@ v as (select c_nationkey, 1 + row_number() over (order by count(*) desc, cast(c_
 select c_custkey, coalesce(slot, 1) as slot from t left join v using (c_nationkey)""")
 def vocabulary_slots(spark, sf):
     df = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("nation"))
-    train = split.sample(df, 0.5, ["c_custkey"])
+    train = split.sample(df, 0.5, ["c_custkey"], fast=False)
     vocab = feat.vocabulary(train, ["nation"])
     return feat.vocabulary_encode(df, "nation", vocab, "slot").select("c_custkey", "slot")
 
@@ -268,7 +268,7 @@ from t cross join z left join v using (c_nationkey)""")
 def vocabulary_vector(spark, sf):
     """Binary encoding: as many 0/1 entries as values, and two more for masked and unseen ones."""
     df = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("nation"))
-    vocab = feat.vocabulary(split.sample(df, 0.5, ["c_custkey"]), ["nation"])
+    vocab = feat.vocabulary(split.sample(df, 0.5, ["c_custkey"], fast=False), ["nation"])
     size = vocab.agg(F.max("size")).first()[0]
     slots = feat.vocabulary_encode(df, "nation", vocab, "slot")
     bits = feat.slot_vector(F.array(F.col("slot").cast("int")), size)
@@ -292,7 +292,7 @@ with s as (select avg(o_totalprice) as m, stddev_pop(o_totalprice) as d from ord
 select o_orderkey, round(greatest(-1.5, least(1.5, (o_totalprice - m) / d)), 6) + 0.0 as z from orders, s""")
 def standardize_clip(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    train = split.sample(orders, 0.8, ["o_orderkey"])
+    train = split.sample(orders, 0.8, ["o_orderkey"], fast=False)
     scaled = feat.standardize(orders, ["o_totalprice"], train)
     return scaled.select("o_orderkey", F.round(clean.clip("o_totalprice", -1.5, 1.5), 6).alias("z"))
 

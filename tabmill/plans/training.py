@@ -33,7 +33,7 @@ def binary(spark, sf):
 
 
 def halves(df):
-    marked = split.fractions(df, LINE_KEY, (0.8, 0.2), ("train", "test"))
+    marked = split.fractions(df, LINE_KEY, (0.8, 0.2), ("train", "test"), fast=False)
     return marked.where("split = 'train'").drop("split"), marked.where("split = 'test'").drop("split")
 
 
@@ -186,7 +186,7 @@ def stepped(spark, sf):
 
 def rest_of(df, seed="9"):
     """Four fifths to fit, the others, by row hash."""
-    return split.sample(df, 0.8, LINE_KEY, seed=seed), split.complement(df, 0.8, LINE_KEY, seed=seed)
+    return split.sample(df, 0.8, LINE_KEY, seed=seed, fast=False), split.complement(df, 0.8, LINE_KEY, seed=seed, fast=False)
 
 
 _unseen = f"not {sql_in_fraction(0.8, *LINE_KEY, seed='9')}"
@@ -349,6 +349,6 @@ select doc_id, arg_max(lang, score) as prediction from b group by doc_id""")
 def nb_scores(spark, sf):
     """Naive Bayes on TF-IDF, fitted on 80 % of the documents, the rest scored."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    fit = split.sample(docs, 0.8, ["doc_id"], seed="8")
-    rest = split.complement(docs, 0.8, ["doc_id"], seed="8")
+    fit = split.sample(docs, 0.8, ["doc_id"], seed="8", fast=False)
+    rest = split.complement(docs, 0.8, ["doc_id"], seed="8", fast=False)
     return train.score_text_classes(train.fit_text_classes(fit, "doc_id", "text", "lang"), rest, "doc_id", "text")
