@@ -135,6 +135,7 @@ def content_split(df: DataFrame, cols: Sequence[str] | None = None, out: str = "
 
     Equal rows always share a part.
     """
+    # The buckets 9 and 8 of 10, and the names of the parts.
     number = hashing.fast_bucket if fast else hashing.bucket
     spot = number(10, *hashing.content(df, list(cols) if cols else None))
     return df.withColumn(

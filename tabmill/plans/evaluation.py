@@ -152,6 +152,7 @@ select round(sqrt(avg((label - prediction) ** 2)), 4) as {rmse}, round(avg(abs(l
        round(avg(abs((label - prediction) / nullif(label, 0))) * 100, 5) as {mape},
        round(1 - avg((label - prediction) ** 2) / var_pop(label), 7) as {r2},
        round(avg((label - prediction) ** 2) / 1e6, 4) as {mse} from y"""
+# The names of the metrics.
 _names = {"rmse": "rootMeanSquaredError", "mae": "meanAbsoluteError", "rmsle": "rootMeanSquaredLogError",
           "mape": "meanAbsolutePercentageError", "r2": "rSquared", "mse": "loss"}
 

@@ -46,8 +46,12 @@ def parse_predictions(lines: DataFrame, instance: T.StructType) -> DataFrame:
     return row.select("instance.*", chosen.alias("prediction"))
 
 
+# Fixed value: how prediction files are named.
+PREDICTION_FILES = "prediction.results*"
+
+
 def read_predictions(spark: SparkSession, folder: str, instance: T.StructType,
-                     pattern: str = "prediction.results*") -> DataFrame:
+                     pattern: str = PREDICTION_FILES) -> DataFrame:
     return parse_predictions(spark.read.option("pathGlobFilter", pattern).text(folder), instance)
 
 
