@@ -21,6 +21,8 @@ from tabmill.llm.common import LOWER, arrow_type, slices, texts
 from tabmill.session import cut, fresh_path
 
 WINDOW = 10
+SLOP = 1                   # words off its place that a term of a near hit may stand: one put in, left out or moved
+MISSING = 1                # terms of a full window that a near hit may lack: one left out or changed
 SEGMENT = 1_000_000        # words after which a segment is closed, at the end of a document
 TEST_WORDS = 2_000_000     # words of the test items that are looked up in one pass: what is sent to each task
 CANDIDATES = 4_000_000     # places followed at once
@@ -105,10 +107,12 @@ def phrases(items: list[tuple[str, str]], window: int = WINDOW) -> Phrases:
     return Phrases(list(numbers), grid, lengths, np.array(owners, np.int64), names)
 
 
-def find(row: dict, asked: Phrases, slop: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def find(row: dict, asked: Phrases, slop: int = 0, missing: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Phrases met in a segment and where they start: ``(phrase numbers, places)``, in parts.
 
-    With ``slop`` a term may stand up to that many words off its place in the phrase.
+    With ``slop`` a term may stand up to that many words off its place in the phrase, within the document. A phrase of a full
+    window may lack ``missing`` of its terms, so one of its ``missing + 1`` rarest is there and leads. What would start before
+    its document starts with it.
     """
     segment_terms = row["terms"].split(b" ") if row["terms"] else []
     if not segment_terms or not len(asked.grid):
@@ -121,45 +125,56 @@ def find(row: dict, asked: Phrases, slop: int = 0) -> Iterator[tuple[np.ndarray,
     local = np.append(local, -1)
     # every posting as (term, place) in one sorted line
     line = (np.repeat(np.arange(len(segment_terms)), np.diff(firsts)) << 32) + places
+    width = asked.grid.shape[1]
+    allowed = np.where(asked.lengths == width, min(missing, width - 1), 0)
     counts = sizes[asked.grid]
-    here = np.flatnonzero((counts > 0).all(axis=1))
+    here = np.flatnonzero((counts == 0).sum(axis=1) <= allowed)
     if not len(here):
         return
     order = np.argsort(counts[here], axis=1, kind="stable")  # rarest first, what is no term last
-    rarest = counts[here, order[:, 0]]
-    groups = np.cumsum(rarest) // CANDIDATES
-    for g in np.unique(groups):
-        some = np.flatnonzero(groups == g)
-        spread = np.repeat(some, rarest[some])
-        offset = order[spread, 0]
-        term = local[asked.grid[here[spread], offset]]
-        nth = np.arange(len(spread)) - np.repeat(np.cumsum(rarest[some]) - rarest[some], rarest[some])
-        start = places[firsts[term] + nth] - offset
-        doc = np.searchsorted(starts, start + offset, "right") - 1
-        fits = (start >= starts[doc]) & (start + asked.lengths[here[spread]] <= starts[doc + 1])
-        spread, start, doc = spread[fits], start[fits], doc[fits]
-        for k in range(1, asked.grid.shape[1]):
-            if not len(spread):
-                break
-            at = order[spread, k]
-            number = asked.grid[here[spread], at]
-            want = (local[number] << 32) + start + at
-            spot = np.searchsorted(line, want - slop)
-            got = line[np.minimum(spot, len(line) - 1)]
-            met = (number < 0) | ((spot < len(line)) & (got >= want - slop) & (got <= want + slop))
-            if slop:  # not past the document's own words
-                place = got - (local[number] << 32)
-                met &= (number < 0) | ((place >= starts[doc]) & (place < starts[doc + 1]))
-            spread, start, doc = spread[met], start[met], doc[met]
-        yield here[spread], start
+    for lead in range(int(allowed[here].max()) + 1):
+        rarest = np.where(lead <= allowed[here], counts[here, order[:, lead]], 0)
+        groups = np.cumsum(rarest * (2 * slop + 1)) // CANDIDATES
+        for g in np.unique(groups):
+            some = np.flatnonzero((groups == g) & (rarest > 0))
+            spread = np.repeat(some, rarest[some])
+            offset = order[spread, lead]
+            term = local[asked.grid[here[spread], offset]]
+            nth = np.arange(len(spread)) - np.repeat(np.cumsum(rarest[some]) - rarest[some], rarest[some])
+            place = places[firsts[term] + nth].astype(np.int64)
+            doc = np.searchsorted(starts, place, "right") - 1
+            spread, doc = np.repeat(spread, 2 * slop + 1), np.repeat(doc, 2 * slop + 1)
+            start = ((place - offset)[:, None] + np.arange(-slop, slop + 1)).ravel()
+            if not slop and not missing:
+                fits = (start >= starts[doc]) & (start + asked.lengths[here[spread]] <= starts[doc + 1])
+                spread, start, doc = spread[fits], start[fits], doc[fits]
+            lacking = np.zeros(len(spread), np.int64)
+            for k in range(width):
+                if k == lead:
+                    continue
+                if not len(spread):
+                    break
+                at = order[spread, k]
+                number = asked.grid[here[spread], at]
+                base = local[number] << 32
+                low = base + np.maximum(start + at - slop, starts[doc])  # not past the document's own words
+                high = base + np.minimum(start + at + slop, starts[doc + 1] - 1)
+                spot = np.searchsorted(line, low)
+                got = line[np.minimum(spot, len(line) - 1)]
+                met = (number < 0) | ((local[number] >= 0) & (spot < len(line)) & (got >= low) & (got <= high))
+                lacking += ~met
+                left = lacking <= allowed[here[spread]]
+                spread, start, doc, lacking = spread[left], start[left], doc[left], lacking[left]
+            yield here[spread], np.maximum(start, starts[doc])
 
 
 def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0,
-            test_words: int = TEST_WORDS) -> DataFrame:
+            test_words: int = TEST_WORDS, missing: int = 0) -> DataFrame:
     """Where phrases of the items stand: ``segment, ordinal, doc_id, item, start, stop, exact``.
 
     Places are word numbers within a document, ``stop`` is one past the last; phrases of one item that overlap are
-    joined. With ``slop``, phrases whose terms stand up to that many words off are given as well, with ``exact`` false.
+    joined. With ``slop`` or ``missing``, phrases whose terms stand up to that many words off, full windows that lack
+    that many terms, are given as well, with ``exact`` false.
     The test items are looked up in passes of about ``test_words`` words, all of them against all segments.
     """
     spark = index.sparkSession
@@ -178,8 +193,8 @@ def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int
             for batch in batches:
                 for one in slices(batch, 1):
                     row = one.to_pylist()[0]
-                    rows = [r for exact in ([True, False] if slop else [True])
-                            for r in joined(row, asked.value, 0 if exact else slop, exact)]
+                    rows = [r for exact in ([True, False] if slop or missing else [True])
+                            for r in joined(row, asked.value, 0 if exact else slop, exact, 0 if exact else missing)]
                     if rows:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema)
@@ -189,9 +204,9 @@ def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int
     return found
 
 
-def joined(row: dict, asked: Phrases, slop: int, exact: bool) -> list[tuple]:
+def joined(row: dict, asked: Phrases, slop: int, exact: bool, missing: int = 0) -> list[tuple]:
     """Match rows of a segment, phrases of an item that overlap in one row."""
-    parts = list(find(row, asked, slop))
+    parts = list(find(row, asked, slop, missing))
     if not parts:
         return []
     number, start = (np.concatenate(p) for p in zip(*parts))
@@ -202,6 +217,7 @@ def joined(row: dict, asked: Phrases, slop: int, exact: bool) -> list[tuple]:
     item, start, stop = item[order], start[order], stop[order]
     starts = np.array(row["starts"], np.int64)
     doc = np.searchsorted(starts, start, "right") - 1
+    stop = np.minimum(stop, starts[doc + 1])  # a near phrase may end past its document
     # windows of one length do not nest, and an item has one length
     fresh = np.ones(len(item), bool)
     fresh[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] > stop[:-1])
@@ -212,15 +228,16 @@ def joined(row: dict, asked: Phrases, slop: int, exact: bool) -> list[tuple]:
             for d, i, a, b in zip(doc.tolist(), item[heads].tolist(), start[heads], stop[ends])]
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0, missing: int = 0) -> DataFrame:
+    """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near``.
 
     A null or empty text has no words and no hit, as a null item has no window. Items without an id count as
     item ''. Repeated rows and ids are judged one by one; windows of items with one id are that item's. Empty tables give no rows
-    or no hits; other columns are not read. ``n_near`` counts items met only within ``slop`` words.
+    or no hits; other columns are not read. ``n_near`` counts items met only within ``slop`` words, or
+    without ``missing`` of a full window's terms; the other columns are about exact phrases.
     """
     index = build_index(docs)
-    found = cut(matches(index, items, window, slop))
+    found = cut(matches(index, items, window, slop, missing=missing))
     exact = found.where("exact").groupBy("segment", "ordinal").agg(
         F.array_sort(F.collect_set("item")).alias("items"),
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))

@@ -93,6 +93,12 @@ def op8_positional_index(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("n_near")
 
 
+@query()
+def op8_near_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of ``op8_positional_index``, and ``n_near``: items met only with a word put in, left out or moved."""
+    return leaks.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), slop=leaks.SLOP, missing=leaks.MISSING)
+
+
 def tokenizer_spec(name: str = "word_bpe_49k.json") -> str:
     with open(public_tokenizers.path(name), encoding="utf-8") as f:
         return f.read()

@@ -238,6 +238,41 @@ def test_leaks_against_brute_force(spark, docs, empty):
     assert [r.exact for r in near.collect()] == [False]
 
 
+def test_near_hits_against_brute_force(spark, docs):
+    own = leaks.words(rows()[1][1])
+    text = [w.decode() for w in own]
+    put_in = [w for i, x in enumerate(text[:30]) for w in ([x, "zzz"] if i % 9 == 4 else [x])]
+    left_out = [x for i, x in enumerate(text[:40]) if i % 8 != 3]
+    items = [("a", " ".join(put_in)), ("b", " ".join(left_out)), ("c", None), (None, "x9"), ("d", rows()[2][1]), ("e", "no here id"),
+             ("f", " ".join(text[:3] + ["zzz"] + text[3:9])), ("g", " ".join(text[-9:] + ["zzz"]))]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    got = sorted(map(str, leaks.contamination(docs, table, slop=1, missing=1).collect()))
+    want, near_all = [], set()
+    for r in rows():
+        w, hit, exact, near = leaks.words(r[1]), set(), set(), set()
+        places = {}
+        for i, x in enumerate(w):
+            places.setdefault(x, set()).add(i)
+        for name, phrase in items:
+            p = leaks.words(phrase)
+            for i in range(max(1, len(p) - 9) if p else 0):
+                g = p[i:i + 10]
+                for s in range(-len(g), len(w) + 1) if len(w) < 5000 else ():
+                    off = [not places.get(t, set()) & {s + k - 1, s + k, s + k + 1} for k, t in enumerate(g)]
+                    if sum(off) <= (len(g) == 10):
+                        near.add(name or "")
+                    if s >= 0 and w[s:s + len(g)] == g:
+                        hit |= set(range(s, s + len(g)))
+                        exact.add(name or "")
+        near_all |= near - exact
+        sha = hashlib.sha256(",".join(sorted(exact)).encode()).hexdigest()
+        want.append((r[0], len(w), len(hit), len(exact), sha, bool(hit), len(near - exact)))
+    assert {"a", "b", "e", "f", "g"} <= near_all
+    assert got == sorted(f"Row(doc_id={a}, n_words={b}, n_hit={c}, n_items={d}, items_sha256='{e}', contaminated={f}, n_near={g})"
+                         for a, b, c, d, e, f, g in want)
+    assert queries.QUERIES["op8_near_hits"](spark, "/root/testdata/sf0.001").columns[-1] == "n_near"
+
+
 def test_token_files_round_trip(spark, docs, empty):
     spec = queries.tokenizer_spec()
     theirs = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
