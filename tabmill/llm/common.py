@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WORD = r"[^\x20\x09-\x0D]+"  # what lies between ASCII white space; bytes.split() cuts the same way
@@ -27,6 +27,11 @@ def texts(docs: DataFrame, *extra: str) -> DataFrame:
                        F.col("text").cast("string").alias("text"), *[F.col(c) for c in extra])
 
 
+def text_key() -> Column:
+    """64-bit hash of a row's text: names the text where ids are null or stand for several texts."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def per_text(docs: DataFrame, fn: Callable, schema: str, *extra: str) -> DataFrame:
     """Rows of ``fn(doc_id, text, *extra)``, a tuple in the order of ``schema``, for each document."""
     names = [part.split()[0] for part in schema.split(", ")]

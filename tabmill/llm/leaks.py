@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tabmill.llm.common import LOWER, arrow_type, slices, texts
+from tabmill.llm.common import LOWER, arrow_type, slices, text_key, texts
 from tabmill.session import cut, fresh_path
 
 WINDOW = 10
@@ -263,7 +263,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents that hold no phrase of an item: rows of ``docs``, all columns. Rows without an id stay."""
-    found = matches(build_index(docs.where("doc_id is not null")), items, window)
-    gone = cut(found.select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    """Documents that hold no phrase of an item: rows of ``docs``, all columns, whatever their ids. Near hits stay."""
+    keyed = docs.select(text_key().alias("doc_id"), "text").where("text is not null")
+    found = matches(build_index(keyed), items, window)
+    gone = cut(found.select(F.col("doc_id").alias("gone_key")).distinct())
+    return docs.join(gone, text_key() == gone["gone_key"], "left_anti")

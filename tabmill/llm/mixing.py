@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabmill.llm.common import WORD
+from tabmill.llm.common import WORD, text_key
 from tabmill.session import cut
 
 BLOCK = 256        # words of a block
@@ -95,6 +95,12 @@ def draws(wanted: DataFrame, block: int, shard: int) -> DataFrame:
     return picked.groupBy("src", "block").agg(F.count("*").alias("times"))
 
 
+def named_source() -> Column:
+    """A row's source as text that is never null."""
+    source = F.col("source").cast("string")
+    return F.when(source.isNull(), "-").otherwise(F.concat(F.lit("+"), source))
+
+
 def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """Words of each document that the mix takes: ``doc_id, size, source_size, target, taken``.
 
@@ -103,11 +109,16 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     are not read. A long document spans many blocks. No block is taken more than ``REPEATS`` times. Draws
     depend on the rows alone, so reruns agree.
     """
+    return drawn(docs, block, shard).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def drawn(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """The rows of ``mix`` with what names a row besides its id: ``text_key, src``."""
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     source = F.col("source").cast("string")
     sized = cut(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), size.alias("size"),
-        F.when(source.isNull(), "-").otherwise(F.concat(F.lit("+"), source)).alias("src"),
+        named_source().alias("src"), text_key().alias("text_key"),
         F.pmod(F.xxhash64(F.lit(SEED), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))), F.lit(PARTS)).cast("int").alias("part")))
     groups = sized.groupBy("src", "source", "part").agg(F.sum("size").alias("group_size"))
     wanted = cut(targets(groups.groupBy("src", "source").agg(F.sum("group_size").alias("source_size"))))
@@ -115,9 +126,9 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     # the words of a source in one line: groups by number, documents by id within
     before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select("src", "part", F.coalesce(F.sum("group_size").over(before), F.lit(0)).alias("first"))
-    upto = Window.partitionBy("src", "part").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("src", "part").orderBy("doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, 0)
     laid = sized.withColumn("end", F.sum("size").over(upto)).join(offsets.hint("merge"), ["src", "part"]).select(
-        "doc_id", "src", "size", (F.col("first") + F.col("end") - F.col("size")).alias("start"))
+        "doc_id", "text_key", "src", "size", (F.col("first") + F.col("end") - F.col("size")).alias("start"))
     laid = cut(laid)
     span = F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))
     pieces = laid.where("size > 0").select("src", "start", "size", F.explode(span).alias("block"))
@@ -126,22 +137,24 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     taken = pieces.join(times.hint("merge"), ["src", "block"]).groupBy("src", "start").agg(F.sum(words * F.col("times")).alias("words"))
     return laid.join(taken.hint("merge"), ["src", "start"], "left").join(
         wanted.select("src", "source_size", "target"), "src").select(
-        "doc_id", "size", "source_size", "target",
+        "doc_id", "text_key", "src", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce("words", F.lit(0))).otherwise(0).cast("long").alias("taken"))
 
 
 def mixed_rows(docs: DataFrame, **settings: int) -> DataFrame:
     """The documents of the mix, each as often as its words are taken: same columns as ``docs``.
 
-    A document of which the blocks hold a part is taken whole or not, by a hash of its id, with that
-    part as its chance, so the words of a source stay near its target.
+    A document of which the blocks hold a part is taken whole or not, by a hash of its id, text and source, with that
+    part as its chance, so the words of a source stay near its target. Rows equal in these share one draw.
     """
-    shares = mix(docs, **settings).groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+    key = ["doc_id", "text_key", "src"]
+    shares = drawn(docs, **settings).groupBy(*key).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
     share = F.coalesce(F.try_divide("t", "s"), F.lit(0.0))
-    chance = F.pmod(F.xxhash64(F.lit(SEED), F.lit("part"), "doc_id"), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    copies = shares.select(F.col("doc_id").alias("mix_id"),
+    chance = F.pmod(F.xxhash64(F.lit(SEED), F.lit("part"), *key), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    copies = shares.select(F.col("doc_id").alias("mix_id"), F.col("text_key").alias("mix_text"), F.col("src").alias("mix_src"),
                            (F.floor(share) + (chance < share - F.floor(share)).cast("int")).cast("int").alias("mix_copies")) \
         .where("mix_copies > 0")
-    taken = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(copies["mix_id"]))
+    taken = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(copies["mix_id"])
+                      & (text_key() == copies["mix_text"]) & (named_source() == copies["mix_src"]))
     return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "mix_copies")).alias("mix_copy")) \
         .select(*docs.columns)

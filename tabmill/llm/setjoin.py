@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabmill.llm.common import LOWER, slices, texts
+from tabmill.llm.common import LOWER, WORD, slices, text_key, texts
 from tabmill.session import cut
 
 SHINGLE = 4
@@ -36,7 +36,7 @@ KNOWN = 200_000        # words of which a worker remembers the hash, and sets wh
 # Fixed odd multipliers of a published 64-bit mixer
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
-SETS = "doc_id long, n int, h long, sketch binary"
+SETS = "doc_id long, text_key long, n int, h long, sketch binary"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -197,19 +197,20 @@ def set_hash(values: np.ndarray) -> int:
 
 
 def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
-    """Set size, set hash and sketch of every document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("sketch", pa.binary())])
+    """Set size, set hash and sketch of every document, and the key of its text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in slices(batch):
                 rows = []
-                for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                for doc_id, text, key in zip(*[c.to_pylist() for c in some.columns]):
                     values = shingle_hashes(words(text), width)
-                    rows.append((key, len(values), set_hash(values), sketch(values, limit)) if len(values) else (key, 0, None, None))
+                    rows.append((doc_id, key, len(values), set_hash(values), sketch(values, limit)) if len(values)
+                                else (doc_id, key, 0, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return texts(docs).mapInArrow(run, SETS)
+    return texts(docs).withColumn("text_key", text_key()).mapInArrow(run, SETS)
 
 
 def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int, tuple[int, int, bool]]) -> DataFrame:
@@ -252,9 +253,9 @@ def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limi
 
     close = cut(short.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near, "a long, b long"))
     needed = close.select(F.col("a").alias("h")).union(close.select(F.col("b").alias("h"))).distinct()
-    found = needed.join(own.select("h", "doc_id"), "h")
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    held = cut(found.join(whole, "doc_id").select("h", "text").dropDuplicates(["h"]))
+    found = needed.join(own.select("h", "text_key"), "h")
+    whole = docs.select(text_key().alias("text_key"), F.col("text").cast("string").alias("text")).where("text is not null")
+    held = cut(found.join(whole, "text_key").select("h", "text").dropDuplicates(["h"]))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, set()
@@ -368,16 +369,10 @@ def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> D
     return held.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document, whole texts.
-
-    Documents link when the Jaccard similarity of their sets of ``width``-word shingles is ``limit`` or more. A text of fewer words
-    is one shingle. Null texts and texts without words have no set and stay alone. Equal sets are one class, so copies are never
-    paired; repeated rows and ids are in one class. A null id takes the smallest id of its component, if any. An empty table
-    gives no rows; other columns are not read. Sets are told apart by 64-bit hashes; links are verified on words.
-    """
+def rooted(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
+    """``doc_id, text_key, n, h, root`` of every document: ``root`` is one of its component's set hashes, null without words."""
     whole = cut(sets(docs, width, limit))
-    own = whole.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+    own = whole.where("h is not null").groupBy("h").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"),
                                                        F.first("sketch").alias("sketch"))
     own = cut(own)
     index = entries(docs, width, limit, banded(docs, limit))
@@ -389,20 +384,35 @@ def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT
     left = still_apart(members.drop("lo"), links)
     rest = apart_pairs(left, own, limit).join(stars, ["a", "b"], "left_anti")
     roots = cut(components(links.union(verified(rest, own, docs, width, limit))))
-    rooted = whole.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "h") \
-        .join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rooted.join(least, "root", "left").select(
+    return whole.select("doc_id", "text_key", "n", "h").join(roots.withColumnRenamed("node", "h"), "h", "left") \
+        .withColumn("root", F.coalesce("root", "h"))
+
+
+def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document, whole texts.
+
+    Documents link when the Jaccard similarity of their sets of ``width``-word shingles is ``limit`` or more. A text of fewer words
+    is one shingle. Null texts and texts without words have no set and stay alone. Equal sets are one class, so copies are never
+    paired; repeated rows and ids are in one class. A null id takes the smallest id of its component, if any. An empty table
+    gives no rows; other columns are not read. Sets and texts are told apart by 64-bit hashes, whatever the ids; links are
+    verified on words.
+    """
+    placed = rooted(docs, width, limit).withColumn("n_shingles", F.col("n").cast("long"))
+    least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return placed.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, limit: tuple[int, int] = (4, 5)) -> DataFrame:
     """Documents without their near duplicates: the one with the smallest id of each component, all columns.
 
-    Of equal rows one stays. Documents without words, and those without an id, are no duplicates of anything and stay.
+    Ids that are null come last; of texts with that id, the one with the smallest hash stays. Of equal rows one stays. Documents
+    without words are no duplicates of anything and stay.
     """
-    found = linked(docs.where("doc_id is not null"), width, limit)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
-    named = left.where(left["doc_id"].isNotNull()).dropDuplicates(["doc_id", "text"])
-    return named.unionByName(left.where(left["doc_id"].isNull()))
+    placed = cut(rooted(docs, width, limit).where("root is not null").select("root", "doc_id", "text_key").distinct())
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    first = placed.groupBy("root").agg(F.min(rank).alias("first"))
+    gone = placed.join(first, "root").where(rank != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
+    left = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (text_key() == gone["gone_key"]), "left_anti")
+    named = left["doc_id"].isNotNull() | F.coalesce(left["text"].cast("string").rlike(WORD), F.lit(False))
+    return left.where(named).dropDuplicates(["doc_id", "text"]).unionByName(left.where(~named))

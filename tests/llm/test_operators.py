@@ -146,6 +146,46 @@ def test_one_of_each_keeps_whole_rows(docs):
     assert got.where("doc_id is null").count() == 1
 
 
+def nameless(spark):
+    """Half the rows without an id: three near copies, copies, a leak; and one id with two texts."""
+    rnd = random.Random(11)
+    base, other, more = ([f"w{rnd.randrange(10**6)}" for _ in range(80)] for _ in range(3))
+    near = [" ".join([*base[:i], "changed", *base[i + 1:]]) for i in (0, 1, 2)]
+    texts = [(None, near[0]), (None, near[1]), (None, near[1]), (7, near[2]), (8, " ".join(other)), (8, " ".join(more)),
+             (9, " ".join(more)), (None, "leak " + " ".join(other[5:20])), (None, None), (None, " "), (None, " ")]
+    texts += [(None, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(30))) for _ in range(40)]
+    return texts, other, spark.createDataFrame([(*t, "en", "s", 0, 1, "x", 0.5) for t in texts], SCHEMA).repartition(4)
+
+
+def test_rows_without_an_id_are_deduplicated(spark):
+    texts, _, docs = nameless(spark)
+    got = sorted(map(str, ((r.doc_id, r.text) for r in setjoin.one_of_each(docs).collect())))
+    kept = [t for i, t in enumerate(texts) if i not in (0, 1, 2, 6)]  # 7 stands for its family, 8 for the copy in 9
+    assert got == sorted(map(str, kept))
+    linked = setjoin.linked(docs, 5, (4, 5)).collect()
+    assert sorted(r.component_id for r in linked if r.component_id is not None) == [7, 7, 7, 7, 8, 8, 8]
+
+
+def test_leaks_without_an_id_are_removed(spark):
+    texts, other, docs = nameless(spark)
+    items = spark.createDataFrame([("i", " ".join(other[5:18]))], "item_id string, text string")
+    got = sorted(map(str, ((r.doc_id, r.text) for r in leaks.without_leaks(docs, items).collect())))
+    assert got == sorted(map(str, (t for i, t in enumerate(texts) if i not in (4, 7))))  # the other text of id 8 stays
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rnd = random.Random(12)
+    docs = spark.createDataFrame([(None, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(30)), "en", f"s{i % 3}", 0, 1, "x", 0.5)
+                                  for i in range(300)], SCHEMA).repartition(4)
+    times = {}
+    for r in mixing.mixed_rows(docs, block=8, shard=64).collect():
+        times[r.source, r.text] = times.get((r.source, r.text), 0) + 1
+    want = {(r.src[1:], r.text_key): r.taken / r.size for r in mixing.drawn(docs, block=8, shard=64).collect()}
+    keys = {r.text: r.k for r in docs.select("text", F.xxhash64("text").alias("k")).collect()}
+    source = {r.text: r.source for r in docs.collect()}
+    assert all(abs(times.get((source[t], t), 0) - want[source[t], k]) < 1 for t, k in keys.items())
+
+
 def test_quotes_link_and_vanish(spark, docs):
     said = [(1, 0, "u", "Hello there.\nHow are you?"), (1, 1, "a", "> hello   there.\n> How are you?\nFine"),
             (1, 2, "u", ">> Hello there.\n> Fine\nok"), (1, 3, "a", "> never said\nx"), (1, 4, "u", None), (1, 4, "u", None),
