@@ -6,9 +6,9 @@ sets differs by no more than its threshold. A segment with threshold 0 is indexe
 subset and all subsets with one shingle less. Sets are joined within bands of similar size; how many segments of
 either kind a band has is the cheapest of all sufficient choices for the number of sets in it.
 
-Sets that meet under a key are candidates. In a bucket, all are first checked against one; what that joins needs no further pair.
-Only sets of a bucket that are still apart are then compared among themselves, in blocks, by parity sketches that
-never exclude a linked pair; what passes is verified on the words.
+Sets that meet under a key are candidates. Those of a bucket are compared among themselves, in blocks, by parity sketches that
+never exclude a linked pair; what passes is verified on the words. ``links`` gives all linked pairs. ``rooted`` gives components only:
+there all sets of a bucket are first checked against one, and only those still apart after that are compared.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabmill.llm.common import LOWER, WORD, slices, text_key, texts
+from tabmill.llm.common import LOWER, WORD, arrow_type, slices, text_key, texts
 from tabmill.session import cut
 
 SHINGLE = 4
@@ -30,6 +30,7 @@ LIMIT = (85, 100)      # least similarity, as a fraction
 LARGE = 64             # sets from which a bucket is large
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
 CHECK_COST = 0.02      # cost of comparing the sketches of two sets of a bucket, in index entries
+DEALS = 4              # parts in which the sets of a block are dealt for the verification of all pairs
 WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
 KNOWN = 200_000        # words of which a worker remembers the hash, and sets whose keys a task has given
 
@@ -37,6 +38,7 @@ KNOWN = 200_000        # words of which a worker remembers the hash, and sets wh
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 SETS = "doc_id long, text_key long, n int, h long, sketch binary"
+PAIRS = "key long, i int, j int, a long, b long"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -240,6 +242,13 @@ def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int,
     return docs.select(F.col("text").cast("string").alias("text")).where("text is not null").mapInArrow(run, "key long, h long")
 
 
+def held_texts(needed: DataFrame, own: DataFrame, docs: DataFrame) -> DataFrame:
+    """``h, text``: a text of each set hash in ``needed``."""
+    found = needed.distinct().join(own.select("h", "text_key"), "h")
+    whole = docs.select(text_key().alias("text_key"), F.col("text").cast("string").alias("text")).where("text is not null")
+    return cut(found.join(whole, "text_key").select("h", "text").dropDuplicates(["h"]))
+
+
 def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
     """Pairs ``a, b`` of set hashes that are linked, by the words of one document of each."""
     short = pairs.join(own.select(F.col("h").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a") \
@@ -252,10 +261,7 @@ def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limi
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     close = cut(short.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near, "a long, b long"))
-    needed = close.select(F.col("a").alias("h")).union(close.select(F.col("b").alias("h"))).distinct()
-    found = needed.join(own.select("h", "text_key"), "h")
-    whole = docs.select(text_key().alias("text_key"), F.col("text").cast("string").alias("text")).where("text is not null")
-    held = cut(found.join(whole, "text_key").select("h", "text").dropDuplicates(["h"]))
+    held = held_texts(close.select(F.col("a").alias("h")).union(close.select(F.col("b").alias("h"))), own, docs)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, set()
@@ -320,9 +326,9 @@ def still_apart(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> DataFrame:
-    """Pairs of sets that share a key, have different roots, and whose sketches do not exclude a link.
+    """``key, i, j, a, b``: pairs of sets that share a key, have different roots, and whose sketches do not exclude a link.
 
-    ``members`` are ``key, h, root, many``. A large bucket is split into blocks; each pair of blocks is one group of rows. Sets
+    ``members`` are ``key, h, root, many``; the pairs come with the bucket and blocks they were found in, maybe several times. A large bucket is split into blocks; each pair of blocks is one group of rows. Sets
     of a family meet in many large buckets: there a pair is given under the least of the large keys it shares only.
     """
     large = members.where(F.col("many") >= LARGE).groupBy("h").agg(F.array_sort(F.collect_list("key")).alias("large"))
@@ -335,7 +341,7 @@ def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> D
         .select("key", "i", "j", "h", "root", "n", "sketch", "large") \
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "h")
 
-    def compare(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    def compare(key: int, i: int, j: int, rows: list[tuple]) -> Iterator[tuple[int, int, int, int, int]]:
         if len(rows) < 2:
             return
         h, root, n = (np.array([r[k] for r in rows], np.int64) for k in range(3))
@@ -348,29 +354,66 @@ def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> D
                 for y in other[differ <= (limit[1] - limit[0]) * total // (limit[1] + limit[0])]:
                     shared = set(rows[x][4] or ()).intersection(rows[y][4] or ())
                     if key not in shared or key == min(shared):
-                        yield int(h[x]), int(h[y])
+                        yield key, i, j, *sorted((int(h[x]), int(h[y])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        last, rows = (None,), []
+        schema = pa.schema([(f.split()[0], arrow_type(f.split()[1])) for f in PAIRS.split(", ")])
+        last, rows = (0, 0, 0), []
         for batch in batches:
             found = []
             for key, i, j, *rest in zip(*[c.to_pylist() for c in batch.columns]):
                 if (key, i, j) != last:
-                    found += compare(last[0], rows)
+                    found += compare(*last, rows)
                     last, rows = (key, i, j), []
                 rows.append(rest)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
-        found = list(compare(last[0], rows))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
+        found = list(compare(*last, rows))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
 
-    return held.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return held.mapInArrow(run, PAIRS)
 
 
-def rooted(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
-    """``doc_id, text_key, n, h, root`` of every document: ``root`` is one of its component's set hashes, null without words."""
+def all_verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
+    """Of pairs as ``apart_pairs`` gives them the linked ones, ``a, b``, by the words of one document of each.
+
+    Pairs meet with the texts of their sets in the blocks they were found in: a text goes to blocks, not to pairs.
+    """
+    deal = F.pmod(F.xxhash64("a"), F.lit(DEALS)) * DEALS + F.pmod(F.xxhash64("b"), F.lit(DEALS))
+    group = ["key", "i", "j", "deal"]
+    once = cut(pairs.groupBy("a", "b").agg(F.min(F.struct("key", "i", "j")).alias("g")).select("g.*", deal.alias("deal"), "a", "b"))
+    ends = once.select(*group, F.col("a").alias("h")).union(once.select(*group, F.col("b").alias("h"))).distinct()
+    met = ends.join(held_texts(ends.select("h"), own, docs), "h").select(*group, F.col("h").alias("a"), F.lit(None).cast("long").alias("b"), "text") \
+        .union(once.select(*group, "a", "b", F.lit(None).cast("string"))) \
+        .repartition(*group).sortWithinPartitions(*group, F.col("b").asc_nulls_first(), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last, numbers, sets_, here = None, None, {}, {}, np.zeros(0, bool)
+        for batch in batches:
+            for some in slices(batch):
+                out = []
+                for *own_group, a, b, text in zip(*[c.to_pylist() for c in some.columns]):
+                    if own_group != group:
+                        group, last, numbers, sets_ = own_group, None, {}, {}
+                    if b is None:  # texts come before the pairs
+                        found = shingle_set(words(text), width)
+                        sets_[a] = np.fromiter((numbers.setdefault(x, len(numbers)) for x in found), np.int32, len(found))
+                        continue
+                    if b != last:
+                        last, here = b, np.zeros(len(numbers), bool)
+                        here[sets_[b]] = True
+                    both = int(here[sets_[a]].sum())
+                    if limit[1] * both >= limit[0] * (len(sets_[a]) + len(sets_[b]) - both):
+                        out.append((a, b))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    return cut(met.mapInArrow(run, "a long, b long"))
+
+
+def bucketed(docs: DataFrame, width: int, limit: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents, their distinct sets, and the members ``key, h, lo`` of buckets of several sets, with the least of each."""
     whole = cut(sets(docs, width, limit))
     own = whole.where("h is not null").groupBy("h").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"),
                                                        F.first("sketch").alias("sketch"))
@@ -379,28 +422,55 @@ def rooted(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
     # written apart, so that the exchange of all entries is gone from the disks before they are exchanged again
     heads = cut_clean(index.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
     members = cut_clean(index.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
-    stars = cut(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
-    links = verified(stars, own, docs, width, limit)
-    left = still_apart(members.drop("lo"), links)
-    rest = apart_pairs(left, own, limit).join(stars, ["a", "b"], "left_anti")
-    roots = cut(components(links.union(verified(rest, own, docs, width, limit))))
+    return whole, own, members
+
+
+def links(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT) -> tuple[DataFrame, DataFrame]:
+    """All links: documents ``doc_id, text_key, n, h``, and the linked pairs ``a, b`` of set hashes ``h``, each once, ``a < b``.
+
+    In a family of n different sets these are up to n (n - 1) / 2.
+    """
+    whole, own, members = bucketed(docs, width, limit)
+    many = members.groupBy("key").agg(F.count("*").alias("many"))
+    every = members.join(many, "key").select("key", "h", F.col("h").alias("root"), "many")  # each set its own root
+    return whole.select("doc_id", "text_key", "n", "h"), all_verified(apart_pairs(every, own, limit), own, docs, width, limit)
+
+
+def with_roots(whole: DataFrame, pairs: DataFrame) -> DataFrame:
+    roots = cut(components(pairs))
     return whole.select("doc_id", "text_key", "n", "h").join(roots.withColumnRenamed("node", "h"), "h", "left") \
         .withColumn("root", F.coalesce("root", "h"))
 
 
+def rooted(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
+    """``doc_id, text_key, n, h, root`` of every document: ``root`` is one of its component's set hashes, null without words.
+
+    Components only: pairs that are connected already are not compared, so most links of a family are never looked for.
+    """
+    whole, own, members = bucketed(docs, width, limit)
+    stars = cut(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
+    found = verified(stars, own, docs, width, limit)
+    left = still_apart(members.drop("lo"), found)
+    rest = apart_pairs(left, own, limit).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    return with_roots(whole, found.union(verified(rest, own, docs, width, limit)))
+
+
 def linked(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document, whole texts.
+    """``doc_id, n_shingles, component_id, n_links`` of every document, whole texts.
 
     Documents link when the Jaccard similarity of their sets of ``width``-word shingles is ``limit`` or more. A text of fewer words
     is one shingle. Null texts and texts without words have no set and stay alone. Equal sets are one class, so copies are never
     paired; repeated rows and ids are in one class. A null id takes the smallest id of its component, if any. An empty table
     gives no rows; other columns are not read. Sets and texts are told apart by 64-bit hashes, whatever the ids; links are
-    verified on words.
+    verified on words. ``n_links`` counts the other sets that a document's set is linked with, all of them.
     """
-    placed = rooted(docs, width, limit).withColumn("n_shingles", F.col("n").cast("long"))
+    whole, pairs = links(docs, width, limit)
+    counts = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b"))).groupBy("h").agg(F.count("*").alias("n_links"))
+    placed = with_roots(whole, pairs).join(counts, "h", "left").withColumn("n_shingles", F.col("n").cast("long"))
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, limit: tuple[int, int] = (4, 5)) -> DataFrame:

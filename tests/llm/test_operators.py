@@ -123,6 +123,18 @@ def test_set_join_is_exact(docs, width, limit):
         assert r.component_id == (None if want == 10**9 else want)
 
 
+@pytest.mark.parametrize("width, limit", [(4, (85, 100)), (5, (4, 5))])
+def test_set_join_gives_every_link(docs, width, limit):
+    by_id = {r[0]: frozenset(setjoin.shingle_set(setjoin.words(r[1]), width)) for r in rows()}
+    keys = sorted({s for s in by_id.values() if s}, key=sorted)
+    near = {a: sum(a != b and limit[1] * len(a & b) >= limit[0] * len(a | b) for b in keys) for a in keys}
+    got = {r.doc_id: r.n_links for r in setjoin.linked(docs, width, limit).collect()}
+    assert got == {i: near.get(s, 0) for i, s in by_id.items()}
+    pairs = setjoin.links(docs, width, limit)[1]
+    assert pairs.distinct().count() == pairs.count() == sum(near.values()) // 2 > 8  # more than a star over the near copies
+    assert pairs.where("a >= b").count() == 0
+
+
 def test_deletion_segments_lose_no_link():
     rnd = np.random.default_rng(3)
     limit = (85, 100)
