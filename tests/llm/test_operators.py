@@ -93,6 +93,24 @@ def test_compression_counts(docs):
     assert not compression.measure(1, " ".join(f"{i % 3} word{i % 40} text{i % 37}" for i in range(5000)))[7]
 
 
+def test_compression_sees_stretches_of_long_texts(spark):
+    sf = "/root/testdata/sf0.1"
+    clean = queries.table(spark, sf, "documents").join(queries.table(spark, sf, "labels").where("quality = 1").select("doc_id"), "doc_id")
+    rnd = random.Random(4)
+    for lang in ("en", "fr"):
+        texts = [r.text for r in clean.where((F.col("lang") == lang) & (F.length("text") > 6000)).orderBy("doc_id").limit(20).collect()]
+        long = "\n".join(x for x in texts if compression.measure(1, x)[7])[:150000]
+        assert len(long) > 60000 and compression.measure(1, long)[7]
+        for letters, size in (("0123456789abcdef", 8192), ("0123456789", 24576), (
+                "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 8192)):
+            stretch = "".join(" " if i % 9 == 8 else rnd.choice(letters) for i in range(200000))
+            assert not compression.measure(1, long + " " + stretch[:size])[7]
+            assert not compression.measure(1, long[:30000] + " " + stretch[:size] + " " + long[30000:])[7]
+            assert not any(compression.measure(1, stretch[:n])[7] for n in (20000, 200000))
+        assert not compression.measure(1, long + " " + long[500:1300] * 11)[7]
+    assert not compression.measure(1, "".join(" " if i % 9 == 8 else rnd.choice("0123456789abcdef") for i in range(4096)))[7]
+
+
 @pytest.mark.parametrize("width, limit", [(4, (85, 100)), (5, (4, 5))])
 def test_set_join_is_exact(docs, width, limit):
     got = setjoin.linked(docs, width, limit).collect()
