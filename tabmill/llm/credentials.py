@@ -29,7 +29,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of fewer fails either way
 KEYWORDS = ("pass", "secret", "token", "api")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16          # characters of a candidate, or of what base spans leave of it
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+JOINTS = "+/_=-"
 WORDLIKE = re.compile(r"[A-Za-z]{8,}")
 
 FOUND = "doc_id long, kinds array<int>, starts array<int>, ends array<int>, values array<string>, word string"
@@ -54,14 +56,20 @@ def collect(doc_id: int | None, text: str | None) -> tuple:
     base = base_spans(text)
     spans, at, reach = list(base), 0, 0
     for m in CANDIDATE.finditer(text):
-        value = m[0]
-        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue
+        parts, cursor = [], max(m.start(), reach)
         while at < len(base) and base[at][0] < m.end():
+            parts.append((cursor, base[at][0]))
             reach = max(reach, base[at][2])
+            cursor = max(cursor, reach)
             at += 1
-        if reach <= m.start():
-            spans.append((m.start(), 3, m.end(), value))
+        for a, b in [*parts, (cursor, m.end())]:  # what base spans leave of it, without what joins the two
+            while m.start() < a < b and text[a] in JOINTS:
+                a += 1
+            while a < b < m.end() and text[b - 1] in JOINTS:
+                b -= 1
+            value = text[a:b]
+            if b - a >= LEAST and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+                spans.append((a, 3, b, value))
     spans.sort()
     words = {w for w in WORDLIKE.findall(text) if len(w) < 40} if text else set()
     word = min(words, key=lambda w: (zlib.crc32(w.encode()), w), default=None)
