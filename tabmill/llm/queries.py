@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabmill.llm import compression, credentials, langid, leaks, mixing, quotes, setjoin, shards, tokenfile, unigram
+from tabmill.llm import (compression, credentials, langid, leaks, mixing, periodic, quotes, setjoin, shards, tokenfile,
+                         unigram)
 from tabmill.llm.common import table
 
 QUERIES: dict = {}
@@ -112,3 +115,27 @@ def op9_huffman_file(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_jump_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shards.place(table(spark, sf, "documents"), 24)
+
+
+def replayed(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with which op13 is asked: those of one document in ten repeat from some word on, as its id says."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or n == 0 or h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query()
+def op13_minimizer_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.runs(table(spark, sf, "documents"), replayed)
+    top = F.reduce("runs", F.lit(None).cast("struct<start: long, length: long, period: long>"), lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
