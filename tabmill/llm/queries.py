@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabmill.llm import (compression, credentials, langid, leaks, mixing, periodic, quotes, setjoin, shards, tokenfile,
-                         unigram)
+                         turntrie, unigram)
 from tabmill.llm.common import table
+from tabmill.session import cut
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +140,53 @@ def op13_minimizer_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("1000 * top.length div top.period").alias("exponent_milli"),
         F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def rebuilt(seqs: DataFrame, block: int = 20, most: int = 4) -> DataFrame:
+    """Sequences as op12 asks for them: the first turns, fewer than ``most``, come from the first conversation of the block."""
+    width = turntrie.WIDTH
+    heads = seqs.where(F.col("conv_id") % block == 0).select(
+        F.col("conv_id").alias("base"), F.substring("key", 1, width * most).alias("head"), F.slice("words", 1, most).alias("head_words"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % most).cast("int")
+    own = seqs.withColumn("h", h).withColumn("base", F.col("conv_id") - F.col("conv_id") % block).join(heads, "base", "left")
+    return own.select(
+        "conv_id", F.concat(F.coalesce(F.col("head").substr(F.lit(1), F.col("h") * width), F.lit(b"")),
+                            F.col("key").substr(F.col("h") * width + 1, F.octet_length("key"))).alias("key"),
+        F.concat(F.coalesce(F.expr("slice(head_words, 1, h)"), F.expr("slice(words, 1, 0)")),
+                 F.expr("slice(words, h + 1, size(words))")).alias("words"))
+
+
+OP12_SQL = """
+with t as (
+  select conv_id, coalesce(role, '') as r, coalesce(text, '') as x, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p
+  from conversations where conv_id is not null),
+c as (
+  select distinct conv_id, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::varchar, ''),
+    lambda ch: [ascii(ch) + 256, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, b: case when b >= 0 then xor(a, b - 256)
+    when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295) % 4 as h from t),
+b as (
+  select c.conv_id, t.p, t.r, t.x from c join t on t.conv_id = c.conv_id - c.conv_id % 20 and t.p <= c.h
+  union all select c.conv_id, t.p, t.r, t.x from c join t on t.conv_id = c.conv_id and t.p > c.h),
+s as (
+  select conv_id, row_number() over w as d, string_agg(sha256(length(r) || ':' || r || x), '') over w as k,
+    len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) as words
+  from b window w as (partition by conv_id order by p rows unbounded preceding)
+  union all select conv_id, 0, '', 0 from c),
+e as (select k, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+      from (select conv_id, max_by(k, d) as k from s group by conv_id) group by k),
+n as (select k, d, min(conv_id) as conv_id, count(*) as n, min(words) as words from s group by k, d),
+m as (select n.*, n.k[1:64 * (d - 1)] as up, not exists (select 1 from n as o where o.d = n.d + 1 and o.k[1:64 * n.d] = n.k) as leaf from n),
+u as (select k[1:64 * j] as k, sum(leaf::int) as n_leaves, sum((n - 1) * words) as saved
+      from m, unnest(range(0, d + 1)) as r(j) group by 1),
+g as (select up, count(*) as kids from m where d > 0 group by up)
+select m.conv_id, m.d as depth, p.conv_id as parent_conv_id, m.n as n_convs, coalesce(kids, 0) as n_children,
+  n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from m left join n as p on m.d > 0 and p.k = m.up left join g on g.up = m.k join u on u.k = m.k left join e on e.k = m.k
+"""
+
+
+@query(OP12_SQL)
+def op12_radix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    seqs = cut(turntrie.sequences(table(spark, sf, "conversations")))
+    return turntrie.nodes(rebuilt(seqs))
