@@ -7,8 +7,8 @@ import zlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabmill.llm import (compression, credentials, langid, leaks, mixing, periodic, quotes, setjoin, shards, tokenfile,
-                         turntrie, unigram)
+from tabmill.llm import (compression, credentials, langid, leaks, mixing, periodic, quotes, repeats, setjoin, shards,
+                         tokenfile, turntrie, unigram)
 from tabmill.llm.common import table
 from tabmill.session import cut
 
@@ -190,3 +190,11 @@ from m left join n as p on m.d > 0 and p.k = m.up left join g on g.up = m.k join
 def op12_radix_trie(spark: SparkSession, sf: str) -> DataFrame:
     seqs = cut(turntrie.sequences(table(spark, sf, "conversations")))
     return turntrie.nodes(rebuilt(seqs))
+
+
+@query()
+def op11_run_index(spark: SparkSession, sf: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf, "documents"))
+    removed = F.reduce("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
