@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabmill.functions import text as words_of
 from tabmill.functions.joins import lookup
-from tabmill.functions.order import running_totals
+from tabmill.functions.order import order_statistics, running_totals, sizes
 from tabmill.operators.clean import NUMERIC, TEXT, columns_of
+from tabmill.session import cut
 
 
 # -- categories -------------------------------------------------------------------------
@@ -235,6 +236,40 @@ def quantile_edges(df: DataFrame, features: Sequence[str], bins: int = 10) -> di
     return {c: sorted(set(map(float, row[c] or []))) for c in features}
 
 
+def exact_edges(df: DataFrame, features: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
+    """Inner bin edges at exact ranks: the values that ``i / bins`` of a column's values come before, nulls left out."""
+    ends = sizes(df, list(features))
+    ranks = {c: sorted({ends[c]["n"] * i // bins for i in range(1, bins)}) if ends[c]["n"] else [] for c in features}
+    found = order_statistics(df, ranks, ends)
+    return {c: sorted({float(found[c, k]) for k in ranks[c]}) for c in features}
+
+
+def expected_information(a: Column, b: Column, n: Column, width: float = 12.0) -> Column:
+    """What a cell of a table with margins ``a`` and ``b`` of ``n`` rows adds to the mutual information if rows are dealt at random.
+
+    The cell's count k is hypergeometric: sum of P(k) k/n ln(n k / (a b)). The probabilities come from their ratios, going up and down
+    from the likeliest count, and are divided by their sum; counts ``width`` deviations and 40 off it weigh nothing in a double.
+    """
+    a, b, n = (x.cast("double") for x in (a, b, n))
+    least, most = F.greatest(F.lit(0.0), a + b - n), F.least(a, b)
+    mode = F.least(F.greatest(F.floor((a + 1) * (b + 1) / (n + 2)).cast("double"), least), most)
+    reach = F.ceil(F.sqrt(a * b / n * (n - a) / n * (n - b) / F.greatest(n - 1, F.lit(1.0))) * width) + 40
+    value = lambda k: F.when(k > 0, k / n * F.ln(n * k / (a * b))).otherwise(0.0)
+    start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("total"))
+
+    def side(first: Column, last: Column, step: int, ratio) -> Column:
+        def add(state: Column, k: Column) -> Column:
+            p = state["p"] * ratio(k.cast("double"))
+            return F.struct(p.alias("p"), (state["weight"] + p).alias("weight"), (state["total"] + p * value(k.cast("double"))).alias("total"))
+
+        counts = F.when(first <= last if step > 0 else first >= last, F.sequence(first.cast("long"), last.cast("long"), F.lit(step).cast("long")))
+        return F.coalesce(F.reduce(counts, start, add), start)
+
+    up = side(mode + 1, F.least(most, mode + reach), 1, lambda k: (a - k + 1) * (b - k + 1) / (k * (n - a - b + k)))
+    down = side(mode - 1, F.greatest(least, mode - reach), -1, lambda k: (k + 1) * (n - a - b + k + 1) / ((a - k) * (b - k)))
+    return (value(mode) + up["total"] + down["total"]) / (1 + up["weight"] + down["weight"])
+
+
 def bin_of(col: Column | str, edges: Sequence[float]) -> Column:
     """Number of edges at or below the value; null has its own bin, -1."""
     c = F.col(col) if isinstance(col, str) else col
@@ -249,12 +284,13 @@ def mutual_information(df: DataFrame, label: str, edges: Mapping[str, Sequence[f
     """Mutual information of binned features with a label, and its adjusted form.
 
     One pass: rows are stacked to ``(feature, bin, label)`` and counted, after which the
-    frame has at most features x bins x classes rows. The adjustment takes the large-sample
-    expected value (R-1)(C-1)/2n (Vinh, Epps, Bailey 2010 give the exact one).
+    frame has at most features x bins x classes rows. The adjustment takes the exact expected
+    value under the hypergeometric model (Vinh, Epps, Bailey 2010) and the mean of both entropies.
     """
     each = [F.struct(F.lit(c).alias("feature"), bin_of(c, e).alias("bin")) for c, e in edges.items()]
     cells = (df.select(F.col(label).alias("_y"), F.explode(F.array(*each)).alias("f"))
              .groupBy("f.feature", "f.bin", "_y").agg(F.count("*").alias("n")))
+    cells = cut(cells)  # counted once, small from here on
     over = lambda *by: F.sum("n").over(Window.partitionBy("feature", *by))
     sized = cells.select("*", over("bin").alias("nx"), over("_y").alias("ny"), over().alias("total"))
     p = F.col("n") / F.col("total")
@@ -264,13 +300,16 @@ def mutual_information(df: DataFrame, label: str, edges: Mapping[str, Sequence[f
         # each bin's (class's) entropy term is shared out over its cells
         (-p * F.ln(F.col("nx") / F.col("total"))).alias("hx"),
         (-p * F.ln(F.col("ny") / F.col("total"))).alias("hy"))
+    rows = cells.groupBy("feature", "bin").agg(F.sum("n").alias("a"))
+    columns = cells.groupBy("feature", "_y").agg(F.sum("n").alias("b"))
+    whole = rows.groupBy("feature").agg(F.sum("a").alias("n"))
+    margins = rows.join(columns, "feature").join(whole, "feature")  # features x bins x classes rows
+    expected = margins.groupBy("feature").agg(F.sum(expected_information(F.col("a"), F.col("b"), F.col("n"))).alias("chance"))
     found = terms.groupBy("feature").agg(
-        F.sum("mi").alias("mi"), F.sum("hx").alias("hx"), F.sum("hy").alias("hy"),
-        F.max("total").alias("total"), F.count_distinct("bin").alias("r"),
-        F.count_distinct("_y").alias("c"))
-    chance = (F.col("r") - 1) * (F.col("c") - 1) / (2 * F.col("total"))
+        F.sum("mi").alias("mi"), F.sum("hx").alias("hx"), F.sum("hy").alias("hy")).join(expected, "feature")
+    chance = F.col("chance")
     room = (F.col("hx") + F.col("hy")) / 2 - chance
-    out = found.select("feature", "mi", F.when(room > 0, (F.col("mi") - chance) / F.when(room > 0, room))
+    out = found.select("feature", "mi", F.when(room > 1e-15, (F.col("mi") - chance) / F.when(room > 1e-15, room))
                        .otherwise(F.lit(0.0)).alias("ami"))
     return out if top is None else out.orderBy(F.desc("ami"), "feature").limit(top)
 

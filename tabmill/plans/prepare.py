@@ -401,21 +401,53 @@ def _sql_bin(col: str, edges: list[float]) -> str:
     return "(" + " + ".join(f"cast({col} >= {e} as integer)" for e in edges) + ")"
 
 
+def _sql_information(stack: str, top: int) -> str:
+    """Adjusted mutual information of ``s``, rows (feature, bin, label), with log-factorials in place of ratios."""
+    return f"""
+{stack},
+cell as (select feature, bin, label, count(*) as n from s group by all),
+g as (select *, sum(n) over (partition by feature, bin) as nx, sum(n) over (partition by feature, label) as ny,
+             sum(n) over (partition by feature) as t from cell),
+m as (select feature, sum(n / t * ln(n * t / (nx * ny))) as mi,
+             sum(-(n / t) * ln(nx / t)) as hx, sum(-(n / t) * ln(ny / t)) as hy from g group by feature),
+x as (select feature, bin, sum(n)::bigint as a from cell group by all),
+y as (select feature, label, sum(n)::bigint as b from cell group by all),
+w as (select feature, sum(a)::bigint as t from x group by all),
+k as (select feature, a, b, t, unnest(range(greatest(1, a + b - t), least(a, b) + 1)) as k from x join y using (feature) join w using (feature)),
+e as (select feature, sum(k / t * ln(t * k / (a * b)) * exp(
+        lgamma(a + 1) + lgamma(b + 1) + lgamma(t - a + 1) + lgamma(t - b + 1) - lgamma(t + 1) - lgamma(k + 1)
+        - lgamma(a - k + 1) - lgamma(b - k + 1) - lgamma(t - a - b + k + 1))) as chance from k group by feature)
+select feature, round(mi, 9) as mi, round((mi - chance) / ((hx + hy) / 2 - chance), 6) as ami
+from m join e using (feature) order by (mi - chance) / ((hx + hy) / 2 - chance) desc limit {top}"""
+
+
 _stack = " union all ".join(
     f"select '{c}' as feature, {_sql_bin(c, e)} as bin, label from lines" for c, e in MI_EDGES.items())
 
 
-@query(f"""
-with {SQL_LINES}, s as ({_stack}),
-cell as (select feature, bin, label, count(*) as n from s group by all),
-g as (select *, sum(n) over (partition by feature, bin) as nx, sum(n) over (partition by feature, label) as ny,
-             sum(n) over (partition by feature) as t from cell),
-m as (select feature, sum(n / t * ln(n * t / (nx * ny))) as mi, max(t) as t,
-             count(distinct bin) as r, count(distinct label) as c,
-             sum(-(n / t) * ln(nx / t)) as hx, sum(-(n / t) * ln(ny / t)) as hy from g group by feature)
-select feature, round(mi, 9) as mi,
-       round((mi - (r - 1) * (c - 1) / (2 * t)) / ((hx + hy) / 2 - (r - 1) * (c - 1) / (2 * t)), 6) as ami
-from m order by ami desc limit 10""")
+@query(_sql_information(f"with {SQL_LINES}, s as ({_stack})", 10))
 def mi_top10(spark, sf):
     top = feat.mutual_information(lines(spark, sf), "label", MI_EDGES, 10)
     return top.select("feature", F.round("mi", 9).alias("mi"), F.round("ami", 6).alias("ami"))
+
+
+# Features of a line by name: an expression of Spark and one of the other engine.
+MI_FEATURES = {c: (c, c) for c in ("l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_linenumber", "l_orderkey",
+                                   "l_partkey", "l_suppkey")}
+MI_FEATURES |= {"ship_day": ("day(l_shipdate)", "day(l_shipdate)"), "ship_month": ("month(l_shipdate)", "month(l_shipdate)"),
+                "ship_weekday": ("dayofweek(l_shipdate)", "dayofweek(l_shipdate) + 1"), "ship_year": ("year(l_shipdate)", "year(l_shipdate)")}
+
+_found_stack = f"""with {SQL_LINES},
+v as ({" union all ".join(f"select '{c}' as feature, cast({e} as double) as v, label from lines" for c, (_, e) in MI_FEATURES.items())}),
+r as (select feature, v, row_number() over (partition by feature order by v) - 1 as place, count(*) over (partition by feature) as n
+      from v where v is not null),
+h as (select feature, list(distinct v) as edges from r where exists (select 1 from range(1, 10) as i(i) where place = n * i // 10) group by feature),
+s as (select feature, case when v is null then -1 else len(list_filter(edges, lambda x: x <= v)) end as bin, label from v join h using (feature))"""
+
+
+@query(_sql_information(_found_stack, 10))
+def ami_found_edges(spark, sf):
+    """The ten best of twelve features, cut into ten bins at exact quantiles."""
+    df = lines(spark, sf).select("label", *[F.expr(e).cast("double").alias(c) for c, (e, _) in MI_FEATURES.items()])
+    top = feat.mutual_information(df, "label", feat.exact_edges(df, list(MI_FEATURES)), 10)
+    return top.select("feature", F.round("mi", 9).alias("mi"), F.round("ami", 6).alias("ami"))

@@ -108,3 +108,28 @@ def test_weights_and_lags(spark):
     assert [r.w for r in feat.with_weights(df, "y", {0: 1, 1: 100}, "w").orderBy("y", "t").collect()] == [1, 1, 1, 100]
     out = feat.lags(df, "y", "t", ["t"], 2).where("y = 0").orderBy("t").collect()
     assert [(r.t_lag1, r.t_lag2) for r in out] == [(None, None), (1, None), (2, 1)]
+
+
+def test_expected_information_equals_the_sum_over_all_counts(spark):
+    margins = [(1, 1, 2), (3, 4, 9), (10, 10, 10), (50, 7, 60), (600, 500, 1000), (1, 999, 1000), (5, 5, 5000)]
+    df = spark.createDataFrame(margins, "a long, b long, n long")
+    fact = lambda x: math.lgamma(x + 1)
+    for r in df.select("*", feat.expected_information(F.col("a"), F.col("b"), F.col("n")).alias("e")).collect():
+        want = sum(k / r.n * math.log(r.n * k / (r.a * r.b)) * math.exp(
+            fact(r.a) + fact(r.b) + fact(r.n - r.a) + fact(r.n - r.b) - fact(r.n) - fact(k) - fact(r.a - k) - fact(r.b - k)
+            - fact(r.n - r.a - r.b + k)) for k in range(max(1, r.a + r.b - r.n), min(r.a, r.b) + 1))
+        assert r.e == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_unrelated_feature_has_no_adjusted_information(spark):
+    df = spark.range(4000).select((F.xxhash64("id") % 2).cast("int").alias("y"), F.xxhash64(F.col("id") + 9).cast("double").alias("noise"),
+                                  F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.xxhash64("id") % 2).cast("double").alias("same"))
+    edges = feat.exact_edges(df, ["noise", "same"])
+    assert len(edges["noise"]) == 9 and len(edges["same"]) <= 3
+    got = {r.feature: r.ami for r in feat.mutual_information(df, "y", edges).collect()}
+    assert abs(got["noise"]) < 0.005 and got["same"] > 0.8
+
+
+def test_edges_are_values_at_ranks(spark):
+    df = spark.createDataFrame([(float(x), None) for x in range(100, 0, -1)] + [(None, None)], "x double, none double")
+    assert feat.exact_edges(df, ["x", "none"], 4) == {"x": [26.0, 51.0, 76.0], "none": []}
