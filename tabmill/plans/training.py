@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tabmill.functions import hashing
-from tabmill.operators import evaluate, features as feat, score, split, train
+from tabmill.operators import boosting, evaluate, features as feat, score, split, train
 from tabmill.plans.prepare import LINE_KEY, RARE
 from tabmill.plans.registry import query, sql_in_fraction, table
 from tabmill.session import fresh_path
@@ -352,3 +352,38 @@ def nb_scores(spark, sf):
     fit = split.sample(docs, 0.8, ["doc_id"], seed="8", fast=False)
     rest = split.complement(docs, 0.8, ["doc_id"], seed="8", fast=False)
     return train.score_text_classes(train.fit_text_classes(fit, "doc_id", "text", "lang"), rest, "doc_id", "text")
+
+
+# -- boosting by histograms --------------------------------------------------------------------
+
+# Seven zones of quantity, discount and tax; no column holds the label.
+ZONE = ("case when l_quantity <= 12 then 0 when l_quantity <= 25 then (case when l_discount < 0.045 then 1 else 2 end) "
+        "when l_quantity <= 38 then (case when l_tax < 0.035 then 3 else 4 end) when l_discount < 0.065 then 5 else 6 end")
+
+
+@query(f"select {_key}, cast({ZONE} as double) as prediction from lineitem where {_unseen}")
+def boosted_seven(spark, sf):
+    """Softmax boosting, seven trees a round, 20 rounds: every unseen row gets its zone."""
+    fit, rest = rest_of(labelled(spark, sf, ZONE))
+    model = boosting.fit(fit, "label", ["l_quantity", "l_discount", "l_tax"], "softmax", 7, depth=3, rounds=20, bins=64, merged=True)
+    return boosting.predictions(rest, model).select(*LINE_KEY, "prediction")
+
+
+# A target of two cuts, quantity before discount
+FLOORS = "case when l_quantity > 25 then (case when l_discount > 0.045 then 9.0 else 7.0 end) else (case when l_discount > 0.045 then 2.0 else 1.0 end) end"
+
+
+@query(f"""
+with t as (select *, cast({FLOORS} as double) as y, l_quantity > 25 as a, l_discount > 0.045 as b from lineitem),
+root as (select avg(y) as base from t),
+node as (select a, avg(y) as v from t group by a),
+leaf as (select a, b, avg(y) as w from t group by a, b)
+select {_key}, round(v - base, 6) as by_l_quantity, round(w - v, 6) as by_l_discount, round(base, 6) as base, round(w, 6) as margin
+from t join node using (a) join leaf using (a, b), root""")
+def tree_contributions(spark, sf):
+    """What each column adds to a tree's value on a row's way: differences of the means of the nodes."""
+    df = labelled(spark, sf, FLOORS)
+    model = boosting.fit(df, "label", ["l_quantity", "l_discount"], "squared", depth=2, rate=1.0, rounds=1, penalty=0.0, bins=64, merged=True)
+    told = boosting.margins(boosting.contributions(df, model), model)
+    return told.select(*LINE_KEY, *[F.round(c, 6).alias(c) for c in ("by_l_quantity", "by_l_discount", "base")],
+                       F.round(F.col("margins")[0], 6).alias("margin"))
