@@ -12,9 +12,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tabmill.functions import hashing
-from tabmill.operators import boosting, evaluate, features as feat, score, split, train
+from tabmill.operators import boosting, evaluate, features as feat, linear, score, split, train
 from tabmill.plans.prepare import LINE_KEY, RARE
-from tabmill.plans.registry import query, sql_in_fraction, table
+from tabmill.plans.registry import query, sql_bucket, sql_in_fraction, table
 from tabmill.session import fresh_path
 
 COLS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
@@ -387,3 +387,43 @@ def tree_contributions(spark, sf):
     told = boosting.margins(boosting.contributions(df, model), model)
     return told.select(*LINE_KEY, *[F.round(c, 6).alias(c) for c in ("by_l_quantity", "by_l_discount", "base")],
                        F.round(F.col("margins")[0], 6).alias("margin"))
+
+
+# -- L1 on a split column ------------------------------------------------------------------------
+
+PENALTIES = [0.01, 0.05, 0.2, 1.0]
+
+
+def _sql_lasso() -> str:
+    """Coordinate descent in SQL: a recursion over sweeps, with the matrix of cross products of the scaled columns."""
+    n = range(4)
+    inner = "it"
+    for j in n:
+        others = " - ".join(f"c{min(i, j)}{max(i, j)} * {'n' if i < j else 'w'}{i}" for i in n if i != j)
+        inner = (f"(select *, sign(r{j} - {others}) * greatest(abs(r{j} - {others}) - penalty, 0) as n{j} from "
+                 + (f"it cross join g where i < 400)" if j == 0 else inner + ")"))
+    x = [f"(({c} - a{j}) / s{j})" for j, c in enumerate(COLS)]
+    return f"""
+with recursive t as (
+  select *, {PRODUCT} as y, case {sql_bucket(10, *LINE_KEY)} when 9 then 'TEST' when 8 then 'VALIDATE' else 'TRAIN' end as part from lineitem),
+m as (select {', '.join(f'avg({c}) as a{j}, stddev_pop({c}) as s{j}' for j, c in enumerate(COLS))}, avg(y) as ay from t where part = 'TRAIN'),
+g as (select {', '.join(f'avg({x[i]} * {x[j]}) as c{i}{j}' for i in n for j in n if i < j)}, {', '.join(f'avg({x[j]} * (y - ay)) as r{j}' for j in n)}
+      from t, m where part = 'TRAIN'),
+it as (
+  select 0 as i, penalty, {', '.join(f'0.0::double as w{j}' for j in n)} from (values {', '.join(f'({p}::double)' for p in PENALTIES)}) as p(penalty)
+  union all select i + 1, penalty, {', '.join(f'n{j}' for j in n)} from {inner}),
+f as (select penalty, {', '.join(f'w{j} / s{j} as b{j}' for j in n)}, ay - {' - '.join(f'w{j} / s{j} * a{j}' for j in n)} as b from it, m where i = 400),
+e as (select penalty, avg(power(y - b - {' - '.join(f'b{j} * {c}' for j, c in enumerate(COLS))}, 2)) as mse from t, f where part = 'VALIDATE' group by penalty),
+r as (select *, 'trial-' || (row_number() over (order by penalty) - 1) as run from f join e using (penalty))
+select run, 'param' as kind, 'penalty' as key, penalty as value from r union all select run, 'metric', 'mse', round(mse, 6) from r
+union all select run, 'weight', '', round(b, 6) from r
+{' '.join(f"union all select run, 'weight', '{c}', round(b{j}, 8) + 0.0 from r" for j, c in enumerate(COLS))}"""
+
+
+@query(_sql_lasso())
+def l1_on_split_column(spark, sf):
+    """Four penalties on the parts of a content hash, solved on sums and judged by squared error."""
+    marked = split.content_split(labelled(spark, sf, PRODUCT), LINE_KEY, fast=False)
+    log, _ = linear.lasso_trials(marked, COLS, "label", PENALTIES, "split")
+    digits = F.when((F.col("kind") == "weight") & (F.col("key") != ""), F.round("value", 8)).otherwise(F.round("value", 6))
+    return log.withColumn("value", digits)
