@@ -9,8 +9,10 @@ spans between two offsets side by side, a table lookup per id.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from sys import byteorder
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,18 @@ BLOCKS = "part int, seq int, start long, doc_ids array<long>, counts array<int>,
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+class Learned(dict):
+    """What ``learn`` gives for a key, asked once."""
+
+    def __init__(self, learn: Callable):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key):
+        got = self[key] = self.learn(key)
+        return got
+
+
 class Encoder:
     """Ids of a text as little-endian 32-bit integers, the way a tokenizer that drops white space gives them.
 
@@ -44,19 +58,19 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = Learned(self.word)
+        self.pieces = Learned(self.asked)
 
     def asked(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def piece(self, text: str) -> bytes:
-        got = self.pieces.get(text)
-        if got is None:
-            if len(self.pieces) >= KNOWN:
-                self.pieces.clear()
-            got = self.pieces[text] = self.asked(text)
-        return got
+        if len(self.pieces) >= KNOWN:
+            self.pieces.clear()
+        return self.pieces[text]
 
     def word(self, raw: bytes) -> bytes:
         text = raw.decode()
@@ -70,15 +84,9 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
             return self.asked(text)
-        known, out = self.words, []
-        if len(known) >= KNOWN:
-            known.clear()
-        for raw in text.encode().split():
-            got = known.get(raw)
-            if got is None:
-                got = known[raw] = self.word(raw)
-            out.append(got)
-        return b"".join(out)
+        if len(self.words) >= KNOWN:
+            self.words.clear()
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
 
 
 @lru_cache(maxsize=2)
