@@ -449,5 +449,5 @@ def network_grid(spark, sf):
     last = F.max(F.when(F.col("step").isNull() & (F.col("key") == "mse"), F.col("value")))
     per_run = log.groupBy("run").agg(F.max(F.when(F.col("key") == "hidden.0", F.col("value"))).cast("long").alias("num_units"),
                                      F.count(F.when(F.col("step").isNotNull() & (F.col("key") == "mse"), 1)).alias("epochs"), last.alias("mse"))
-    limit = rest.agg(F.var_pop("label").alias("variance"))
-    return per_run.join(F.broadcast(limit)).select("run", "num_units", "epochs", (F.col("mse") < BOUND * F.col("variance")).alias("within"))
+    variance = rest.agg(F.var_pop("label")).first()[0]
+    return per_run.select("run", "num_units", "epochs", (F.col("mse") < BOUND * variance).alias("within"))
