@@ -45,8 +45,8 @@ def jump(key: Column, shards: int) -> Column:
 
 
 def stable_key(key: str, fallback: str) -> Column:
-    """64 bits of a key; rows without one are spread by what they hold."""
-    return F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key))).otherwise(F.xxhash64(F.lit("none"), F.col(fallback)))
+    """64 bits of a whole-number key, of whatever width; rows without one are spread by what they hold."""
+    return F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("long"))).otherwise(F.xxhash64(F.lit("none"), F.col(fallback)))
 
 
 def place(docs: DataFrame, shards: int) -> DataFrame:

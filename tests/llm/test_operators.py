@@ -407,3 +407,9 @@ def test_shards(spark, docs, empty):
 @pytest.mark.parametrize("operator", [langid.identified, compression.rules, setjoin.linked, credentials.scan])
 def test_empty_table(empty, operator):
     assert operator(empty).count() == 0
+
+
+def test_ids_of_any_width_go_to_one_shard(spark):
+    wide = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    narrow = wide.withColumn("doc_id", F.col("doc_id").cast("int"))
+    assert sorted(shards.place(wide, 24).collect()) == sorted(shards.place(narrow, 24).collect(), key=tuple)
