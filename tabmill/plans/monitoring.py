@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
-from tabmill.operators import feature_store as store, monitor
+from tabmill.operators import feature_store as store, imports, monitor
 from tabmill.plans.history import SQL_K, k_of
 from tabmill.plans.prepare import _sql_bin
-from tabmill.plans.registry import query, sql_in_fraction, table
+from tabmill.plans.registry import ORACLES, query, sql_in_fraction, table
 from tabmill.session import fresh_path
 from tabmill.streaming import jobs
 
@@ -97,6 +99,46 @@ def import_stats(spark, sf):
     return out.select(F.col("window").alias("year"), "feature", F.round("distance", 9).alias("distance"))
 
 
+def _imported(spark, sf, against):
+    """The years of the orders, imported one after the other; each import reads the rows of its year."""
+    folder, parts = fresh_path(spark, "imports"), []
+    orders = table(spark, sf, "orders").select("o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    years = orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    for year in range(years[0], years[1] + 1):
+        first, end = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+        batch = orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < end))
+        parts.append(imports.record(batch, folder, str(year), PRICE_EDGES, ["o_orderpriority", "o_orderstatus"], against)
+                     .withColumn("year", F.lit(year)))
+    return folder, functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(ORACLES["import_stats"])
+def import_recorded(spark, sf):
+    """As ``import_stats``, from the statistics that each import has stored."""
+    return _imported(spark, sf, "latest")[1].select("year", "feature", F.round("distance", 9).alias("distance"))
+
+
+@query(f"""
+with s as ({_year_stack}), years as (select distinct w from s),
+sides as (select y.w, s.feature, s.kind, s.bin, cast(s.w < y.w as integer) as b, cast(s.w = y.w as integer) as c
+          from s join years y on s.w <= y.w where y.w > (select min(w) from years)), {_sql_compare('w')}
+select cast(w as integer) as year, feature, round(distance, 9) as distance from distances""")
+def import_against_all(spark, sf):
+    """Each year of orders against the merged statistics of all years before it."""
+    return _imported(spark, sf, "state")[1].select("year", "feature", F.round("distance", 9).alias("distance"))
+
+
+@query("""
+select 'o_totalprice' as feature, count(o_totalprice) as n, cast(count(*) - count(o_totalprice) as bigint) as missing,
+  min(o_totalprice) as lo, max(o_totalprice) as hi, round(avg(o_totalprice), 4) as mean,
+  round(stddev_samp(o_totalprice), 4) as std from orders""")
+def import_state(spark, sf):
+    """Moments of all orders, merged import by import."""
+    folder, _ = _imported(spark, sf, "state")
+    return imports.moments(imports.state(spark, folder)).withColumns(
+        {c: F.round(c, 4) for c in ("mean", "std")})
+
+
 _LIMITS = {"value": 0.01, "k": 0.008, "event_type": 0.05}
 _limit_sql = "case feature " + " ".join(f"when '{f}' then {x}" for f, x in _LIMITS.items()) + " end"
 
