@@ -5,10 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from tabmill.functions.joins import lookup
-from tabmill.session import cut
+from tabmill.session import cut, fresh_path
 
 
 def run_metrics(scored: DataFrame, metrics: Mapping[str, Column], run: str = "run",
@@ -53,29 +52,59 @@ def compare_runs(log: DataFrame, one: str, two: str) -> DataFrame:
             .withColumn("difference", F.col("two") - F.col("one")))
 
 
-def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
+TASK_EDGES = 4_000_000  # of one node, that a task should meet
+
+
+def upstream(edges: DataFrame, targets: DataFrame, buckets: int | None = None, task_edges: int = TASK_EDGES) -> DataFrame:
     """Everything the targets were made from: ``(node, depth)``, targets at depth 0.
 
     ``edges`` is ``(execution, direction, artifact)`` with direction "input" or "output";
     ``targets`` is ``(node)``. Breadth first: a round joins the new nodes only, so no pair of
     ancestor and descendant is ever written, and each node is met once. Rounds are written to
     the shared folder; their number is the depth of the lineage.
+
+    Edges are written once, bucketed by node, so a round moves its new nodes to the edges and not the other way. The
+    edges of a node with more than ``task_edges`` are dealt to as many buckets as they need, by their parent. There
+    are as many ``buckets`` as shuffle partitions, unless told otherwise.
     """
+    spark = edges.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = F.col("direction") == "output"
-    parents = cut(edges.select(
+    links = edges.select(
         F.when(made, F.col("artifact")).otherwise(F.col("execution")).alias("node"),
-        F.when(made, F.col("execution")).otherwise(F.col("artifact")).alias("parent")))
-    frontier = targets.select("node").distinct()
-    seen = cut(frontier.withColumn("depth", F.lit(0)))
-    frontier = seen.select("node")
-    depth = 0
+        F.when(made, F.col("execution")).otherwise(F.col("artifact")).alias("parent")).where("node is not null and parent is not null")
+    # at most (edges / task_edges) nodes are hot
+    hot = cut(links.groupBy("node").count().where(F.col("count") > task_edges)
+              .select("node", F.ceil(F.col("count") / task_edges).cast("int").alias("spread")))
+    spread = F.coalesce("spread", F.lit(1))
+    name = f"tabmill_edges_{uuid.uuid4().hex[:12]}"
+    (links.join(F.broadcast(hot), "node", "left")
+     .select("node", "parent", F.pmod(F.xxhash64("parent"), spread).cast("int").alias("part"))
+     .repartition(buckets, "node", "part").write.bucketBy(buckets, "node", "part").sortBy("node", "part")
+     .option("path", fresh_path(spark, "edges")).saveAsTable(name))
+    stored = spark.read.table(name)
+    try:
+        return _ancestors(stored, hot, targets)
+    finally:
+        spark.sql(f"drop table {name}")
+
+
+def _reached(stored: DataFrame, hot: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Parents of nodes, each once; the stored edges stay in their buckets."""
+    dealt = nodes.join(F.broadcast(hot), "node", "left").select(
+        "node", F.explode(F.sequence(F.lit(0), F.coalesce("spread", F.lit(1)) - 1)).alias("part"))
+    return stored.join(dealt, ["node", "part"]).select(F.col("parent").alias("node")).distinct()
+
+
+def _ancestors(stored: DataFrame, hot: DataFrame, targets: DataFrame) -> DataFrame:
+    seen = cut(targets.select("node").distinct().withColumn("depth", F.lit(0)))
+    frontier, depth = seen.select("node"), 0
     while True:  # each node is met once, so the rounds end
         depth += 1
-        # an execution with very many inputs is a hot node: lookup broadcasts or salts
-        reached = (lookup(parents, frontier, ["node"], how="inner", written=True)
-                   .select(F.col("parent").alias("node")).distinct())
-        new = cut(reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
-        if new.isEmpty():
+        counted = Observation()
+        new = cut(_reached(stored, hot, frontier).join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
+                  .observe(counted, F.count("*").alias("n")))
+        if counted.get["n"] == 0:
             return seen
         seen = seen.unionByName(new)
         if depth % 20 == 0:  # keeps the plan of a deep lineage short
