@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabmill.functions import hashing
@@ -47,23 +48,70 @@ def append_to(df: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+KEPT_BATCHES = 20  # batches of changes that a reader of the newest values may meet
+
+
 def ingest_latest(history: DataFrame, path: str, checkpoint: str,
-                  features: Sequence[str] | None = None) -> None:
+                  features: Sequence[str] | None = None, kept: int = KEPT_BATCHES) -> None:
     """Keep the newest row per entity as history streams in.
 
     The newest row lives in the state store, spread by entity; a batch writes only the entities
     it changed, to a folder of its own. A repeated batch writes the same folder again.
+
+    Batches come in generations of ``kept``. The first batch of a generation writes the newest rows of all before as its
+    base, then says so in ``current``, then writes its changes; until then readers use the generation before, whose
+    base and changes are never touched. ``current`` has two slots, written in turn, so one of them is always whole.
+    Generations before the one in ``current`` are read no more and may be removed. ``kept`` must stay the same for a folder.
     """
     features = store._features(history, features)
-    newest = (history.groupBy(store.ENTITY)
-              .agg(F.max_by(F.struct(store.TIME, store.INGEST, *features),
-                            F.struct(store.TIME, store.INGEST)).alias("r"))
-              .select(store.ENTITY, "r.*"))
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(store.ENTITY)
+                .agg(F.max_by(F.struct(store.TIME, store.INGEST, *features),
+                              F.struct(store.TIME, store.INGEST)).alias("r"))
+                .select(store.ENTITY, "r.*"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark, generation = batch.sparkSession, batch_id // kept
+        last = _current(spark, path)
+        if last < generation:
+            newest(_changes(spark, path, last, batch.schema)).write.mode("overwrite").parquet(f"{path}/base/generation={generation}")
+            _turn_to(spark, path, generation)
+        batch.write.mode("overwrite").parquet(f"{path}/changes/generation={generation}/batch={batch_id}")
+
+    _run(newest(history), write, checkpoint)
+
+
+def _turn_to(spark: SparkSession, path: str, generation: int) -> None:
+    spark.createDataFrame([(generation,)], "generation int").write.mode("overwrite").parquet(
+        f"{path}/current/slot={generation % 2}")
+
+
+def _current(spark: SparkSession, path: str) -> int:
+    """The newest generation whose base is whole; 0, which has no base, before any."""
+    pointers = _if_there(spark, f"{path}/current", T.StructType.fromDDL("generation int"))
+    return 0 if pointers is None else pointers.agg(F.max("generation")).first()[0] or 0
+
+
+def _changes(spark: SparkSession, path: str, generation: int, schema: T.StructType) -> DataFrame:
+    """Base and changes of one generation; older ones are not listed."""
+    parts = [_if_there(spark, f"{path}/changes/generation={generation}", schema)]
+    if generation:
+        parts.append(spark.read.schema(schema).parquet(f"{path}/base/generation={generation}"))
+    out = spark.createDataFrame([], schema)
+    for part in parts:
+        if part is not None:
+            out = out.unionByName(part.select(*schema.names))
+    return out
+
 
-    _run(newest, write, checkpoint)
+def _if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -73,5 +121,8 @@ def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Newest row per entity over the changes written so far."""
-    return store.latest(spark.read.parquet(path).drop("batch"))
+    """Newest row per entity over the changes written so far: one base and the batches after it."""
+    generation = _current(spark, path)
+    newest = f"{path}/base/generation={generation}" if generation else f"{path}/changes/generation=0"
+    schema = T.StructType([f for f in spark.read.parquet(newest).schema.fields if f.name != "batch"])
+    return store.latest(_changes(spark, path, generation, schema))

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from tabmill.operators import feature_store as store, monitor
@@ -59,6 +60,50 @@ def test_latest_over_batches_and_restarts(spark, tmp_path):
     assert pick(jobs.read_latest(spark, out)) == pick(store.latest(batch))
 
 
+def ingested(rows, spark):
+    return store.ingest(spark.createDataFrame(rows, SCHEMA), "user_id", {"value": ("value", "double")}, "ts", "event_id")
+
+
+def newest(df):
+    return sorted((r.entity_id, r.feature_time, r.value) for r in df.collect())
+
+
+def test_readers_meet_one_base_and_few_batches(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = events(140)
+    late = rows[70:] + rows[:70]
+    write_parts(spark, late, folder, 7)
+    history = store.ingest(stream(spark, folder), "user_id", {"value": ("value", "double")}, "ts", "event_id")
+    jobs.ingest_latest(history, out, out + "-progress", kept=2)
+    assert newest(jobs.read_latest(spark, out)) == newest(store.latest(ingested(rows, spark)))
+    files = [f.split("/out/")[1] for f in jobs.read_latest(spark, out).inputFiles()]
+    assert {f.split("/")[1] for f in files} == {"generation=3"}  # batches 0 to 6, two a generation
+    assert len({f.split("/")[2] for f in files if f.startswith("changes")}) == 1
+
+
+def test_a_crash_between_base_and_switch_loses_nothing(spark, tmp_path, monkeypatch):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = events(100)
+    write_parts(spark, rows, folder, 5)
+
+    def run():
+        history = store.ingest(stream(spark, folder), "user_id", {"value": ("value", "double")}, "ts", "event_id")
+        jobs.ingest_latest(history, out, out + "-progress", kept=2)
+
+    with monkeypatch.context() as patch:
+        def broken(*_):
+            raise RuntimeError("lost")
+        patch.setattr(jobs, "_turn_to", broken)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    # the base of generation 1 is written, but not yet in use
+    assert jobs._current(spark, out) == 0
+    assert newest(jobs.read_latest(spark, out)) == newest(store.latest(ingested(rows[:40], spark)))
+    run()
+    assert jobs._current(spark, out) == 2
+    assert newest(jobs.read_latest(spark, out)) == newest(store.latest(ingested(rows, spark)))
+
+
 def test_messages_stream(spark, tmp_path):
     """Trigger messages arrive as files and are decoded by the same call as in batch."""
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
