@@ -6,11 +6,13 @@ come from key hashes (``operators.split``), so a trial can be repeated exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from random import Random
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline
@@ -19,7 +21,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabmill.functions.joins import lookup
 from tabmill.operators import features as feat, split
@@ -126,24 +128,33 @@ def search(train: DataFrame, validation: DataFrame, settings: Sequence[Mapping],
     The log is long: ``(run, step, kind, key, value)`` with text values of settings left out of
     ``value`` and put in ``text``. It has a few rows per trial.
     """
+    larger, lock = evaluator.isLargerBetter(), Lock()
+    best: list = [None, None]  # rank, model
     with held(train) as train, held(validation) as validation:
-        def trial(setting: Mapping):
-            model = build(setting).fit(train)
-            return evaluator.evaluate(model.transform(validation)), model
+        def trial(i: int) -> float:
+            model = build(settings[i]).fit(train)
+            metric = float(evaluator.evaluate(model.transform(validation)))
+            rank = (math.isnan(metric), -metric if larger else metric, i)
+            with lock:  # the best so far is all that stays
+                if best[0] is None or rank < best[0]:
+                    best[:] = [rank, model]
+            return metric
 
         with ThreadPool(parallelism) as pool:
-            done = pool.map(trial, settings)
+            metrics = pool.map(trial, range(len(settings)), chunksize=1)
+    return trial_log(train.sparkSession, list(zip(settings, metrics)), evaluator.getMetricName()), best[1]
+
+
+def trial_log(spark: SparkSession, done: Sequence[tuple[Mapping, float]], metric_name: str) -> DataFrame:
+    """``(run, step, kind, key, value, text)`` of trials: their settings and metric."""
     rows = []
-    for i, (setting, (metric, _)) in enumerate(zip(settings, done)):
+    for i, (setting, metric) in enumerate(done):
         for key, value in setting.items():
             number = isinstance(value, (int, float))
             rows.append((f"trial-{i}", None, "param", key, float(value) if number else None,
                          None if number else str(value)))
-        rows.append((f"trial-{i}", None, "metric", evaluator.getMetricName(), float(metric), None))
-    log = train.sparkSession.createDataFrame(
-        rows, "run string, step long, kind string, key string, value double, text string")
-    pick = max if evaluator.isLargerBetter() else min
-    return log, pick(done, key=lambda d: d[0])[1]
+        rows.append((f"trial-{i}", None, "metric", metric_name, float(metric), None))
+    return spark.createDataFrame(rows, "run string, step long, kind string, key string, value double, text string")
 
 
 def out_of_fold(df: DataFrame, key: Sequence[str], estimator: Estimator, k: int = 3,

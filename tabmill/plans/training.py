@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tabmill.functions import hashing
-from tabmill.operators import boosting, evaluate, features as feat, linear, network, score, split, train
+from tabmill.operators import boosting, evaluate, features as feat, linear, network, score, split, train, tuning
 from tabmill.plans.prepare import LINE_KEY, RARE
 from tabmill.plans.registry import query, sql_bucket, sql_in_fraction, table
 from tabmill.session import fresh_path
@@ -297,6 +297,42 @@ def search_step(spark, sf):
     return log.select("run", "kind", "key", "value")
 
 
+# A line fitted with a squared penalty strays the more the larger the penalty, so the order of the trials, which is all that
+# the search goes by, is known without a fit; the metric of each has a closed form.
+RIDGE = {"penalty": ("log", 0.01, 100.0), "iterations": ("int", 10, 100), "solver": ("choice", ["auto", "normal"]),
+         "tree_depth": ("discrete", [2, 3, 4])}
+RIDGE_TRIALS = tuning.batches(RIDGE, lambda settings: [s["penalty"] for s in settings], 16, 4, larger=False)
+
+
+def _ridge_sql() -> str:
+    settings, penalties = [], []
+    for i, (setting, _, batch) in enumerate(RIDGE_TRIALS):
+        for key, value in {"batch": batch, **setting}.items():
+            number, text = ("null", f"'{value}'") if isinstance(value, str) else (f"{float(value)!r}", "null")
+            settings.append(f"('trial-{i}', 'param', '{key}', cast({number} as double), cast({text} as varchar))")
+        penalties.append(f"('trial-{i}', cast({setting['penalty']!r} as double))")
+    return f"""
+with fit as (select avg(l_quantity) as x, 3 * stddev_pop(l_quantity) as sd from lineitem where {sql_in_fraction(0.8, *LINE_KEY, seed='9')}),
+rest as (select l_quantity as q from lineitem where {_unseen}),
+metrics as (select run, avg(power((3 - 3 / (1 + penalty / sd)) * (q - x), 2)) as mse
+  from (values {', '.join(penalties)}) as t(run, penalty), fit, rest group by run)
+select run, kind, key, round(value, 6) as value, text from (values {', '.join(settings)}) as t(run, kind, key, value, text)
+union all select run, 'metric', 'mse', round(mse, 6), null from metrics"""
+
+
+@query(_ridge_sql())
+def tuned_ridge(spark, sf):
+    """Sixteen trials in batches of four, the later ones drawn by what the earlier ones gave."""
+    fit, rest = rest_of(table(spark, sf, "lineitem").select(*LINE_KEY, "l_quantity", (3 * F.col("l_quantity") + 1).alias("label")))
+
+    def build(s):
+        return train.plain(["l_quantity"], LinearRegression(
+            regParam=s["penalty"], elasticNetParam=0.0, solver=s["solver"], maxIter=s["iterations"], aggregationDepth=s["tree_depth"]))
+
+    log, _ = tuning.tune(fit, rest, RIDGE, build, RegressionEvaluator(metricName="mse"))
+    return log.select("run", "kind", "key", F.round("value", 6).alias("value"), "text")
+
+
 @query(f"select {_key}, cast(case when l_linestatus = 'O' then 1.0 else 0.0 end as double) as prediction from lineitem where {_unseen}")
 def mlp_two_inputs(spark, sf):
     """The feed-forward classifier learns a function of a 0/1 input."""
