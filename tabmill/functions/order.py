@@ -166,19 +166,100 @@ def _bin(x: Column, lo, hi) -> Column:
     return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
 
 
+ACCURACY = 10_000  # of the sketch: it misses a rank by rows / ACCURACY at most
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of numeric columns, exactly; None for an empty column."""
-    ends = sizes(df, cols)
-    spots = {c: [(ends[c]["n"] - 1) * p for p in probs] for c in cols if ends[c]["n"]}
-    ranks = {c: sorted({k for s in at for k in (math.floor(s), math.ceil(s))}) for c, at in spots.items()}
-    values = order_statistics(df, ranks, ends)
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        out[c] = [None] * len(probs)
-        for i, s in enumerate(spots.get(c, ())):
-            low, high = values[c, math.floor(s)], values[c, math.ceil(s)]
-            out[c][i] = float(low) + (float(high) - float(low)) * (s - math.floor(s))
-    return out
+    return quantiles_with(df, cols, probs)[0]
+
+
+def quantiles_with(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                   also: Mapping[str, Column] | None = None) -> tuple[dict[str, list[float | None]], Row]:
+    """Exact quantiles and a row of other aggregates (named in ``also``), from two scans of ``df``.
+
+    Columns hold no NaN; nulls are left out. The first scan brackets each quantile by a mergeable sketch. The second counts
+    the rows below and above each bracket and its own by value, about 4 / ``ACCURACY`` of the rows for each quantile,
+    which are all that is shuffled. They are written, and the ranks are found in them.
+    """
+    cols, also = list(cols), dict(also or {})
+    if not cols:
+        return {}, df.agg(*[a.alias(n) for n, a in also.items()] or [F.lit(None)]).first()
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])  # keeps the order of the values
+    wide = [F.lit(min(1.0, max(0.0, p + d))) for p in probs for d in (-2 / ACCURACY, 2 / ACCURACY)]
+    first = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+                   *[F.percentile_approx(c, F.array(*wide), ACCURACY).alias(f"q_{i}") for i, c in enumerate(cols)],
+                   *[a.alias(n) for n, a in also.items()]).first()
+    wanted, spans = {}, {}  # (column, probability) -> place of its value; its bracket
+    for i, c in enumerate(cols):
+        if first[f"n_{i}"]:
+            for j, p in enumerate(probs):
+                wanted[c, j] = (first[f"n_{i}"] - 1) * p
+                spans[c, j] = (first[f"q_{i}"][2 * j], first[f"q_{i}"][2 * j + 1])
+    values = _within(df, wanted, spans) if wanted else {}
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    for (c, j), at in wanted.items():
+        low, high = values[c, j]
+        out[c][j] = low if low == high else low + (high - low) * (at - math.floor(at))
+    return out, first
+
+
+def _within(df: DataFrame, wanted: Mapping[tuple, float], spans: Mapping[tuple, tuple]) -> dict[tuple, tuple[float, float]]:
+    """Values at the ranks on both sides of each wanted place, by one scan for the rows of the brackets."""
+    keys = list(spans)
+    marks = []
+    for i, key in enumerate(keys):
+        x, (lo, hi) = F.col(key[0]), spans[key]
+        side = F.when(x < F.lit(lo), -1).when(x > F.lit(hi), 1).otherwise(0)
+        marks.append(F.when(x.isNotNull(), F.struct(
+            F.lit(i).alias("span"), side.alias("side"), F.when(side == 0, x).alias("value"), x.alias("x"))))
+    counted = cut(df.select(F.explode(F.array_compact(F.array(*marks))).alias("m")).groupBy("m.span", "m.side", "m.value")
+                  .agg(F.count("*").alias("n"), F.min("m.x").alias("first"), F.max("m.x").alias("last")))
+    # three rows a span
+    sides = {(r["span"], r["side"]): r for r in counted.groupBy("span", "side").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")).collect()}
+    ranks: dict[tuple[int, int], float | tuple] = {}
+    for i, key in enumerate(keys):
+        below, inside = (sides[i, s]["n"] if (i, s) in sides else 0 for s in (-1, 0))
+        for k in {math.floor(wanted[key]), math.ceil(wanted[key])}:
+            if below <= k < below + inside:
+                ranks[i, k] = (*spans[key], below)
+            elif k == below - 1:
+                ranks[i, k] = sides[i, -1]["last"]
+            elif k == below + inside:
+                ranks[i, k] = sides[i, 1]["first"]
+            else:  # the sketch keeps its bound, so this is never met; still it would be right
+                ranks[i, k] = order_statistics(df, {key[0]: [k]})[key[0], k]
+    _narrow(counted.where("side = 0"), ranks)
+    return {key: (ranks[i, math.floor(wanted[key])], ranks[i, math.ceil(wanted[key])]) for i, key in enumerate(keys)}
+
+
+def _narrow(counted: DataFrame, ranks: dict[tuple[int, int], float | tuple]) -> None:
+    """Replace the intervals ``(lo, hi, rows below)`` of ranks by their values, from ``(span, value, n)``."""
+    while True:
+        for target, at in ranks.items():
+            if isinstance(at, tuple) and at[0] == at[1]:
+                ranks[target] = at[0]
+        open_ = sorted({(i, *at[:2]) for (i, _), at in ranks.items() if isinstance(at, tuple)})
+        if not open_:
+            return
+        x = F.col("value")
+        marks = [F.when((F.col("span") == i) & x.between(F.lit(lo), F.lit(hi)),
+                        F.struct(F.lit(m).alias("mark"), _bin(x, lo, hi).alias("bin"))) for m, (i, lo, hi) in enumerate(open_)]
+        bins: dict[int, list] = {}
+        # at most BINS rows per interval
+        for r in sorted(counted.select(F.explode(F.array_compact(F.array(*marks))).alias("m"), "value", "n")
+                        .groupBy("m.mark", "m.bin").agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+                        .collect(), key=lambda r: (r["mark"], r["bin"])):
+            bins.setdefault(r["mark"], []).append(r)
+        for target, at in ranks.items():
+            if isinstance(at, tuple):
+                lo, hi, below = at
+                for r in bins[open_.index((target[0], lo, hi))]:
+                    if target[1] < below + r["n"]:
+                        ranks[target] = (r["lo"], r["hi"], below)
+                        break
+                    below += r["n"]
 
 
 def _expr(e: Column | str) -> Column:

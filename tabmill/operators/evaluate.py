@@ -8,7 +8,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabmill.functions.order import exact_quantiles, running_totals
+from tabmill.functions.order import quantiles_with, running_totals
 from tabmill.operators.clean import NUMERIC, columns_of
 
 # -- aggregates, for use in agg() with or without groups ---------------------------------
@@ -201,17 +201,19 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None,
             probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Per column: count, mean, sample deviation, min, exact interpolated quartiles, max.
 
-    NaN counts as missing, like null.
+    NaN counts as missing, like null. Two scans of ``df``, whatever the number of columns.
     """
     cols = columns_of(df, NUMERIC) if cols is None else list(cols)
     number = lambda c: F.col(c).cast("double")
     df = df.select(*[F.when(~F.isnan(number(c)), number(c)).alias(c) for c in cols])
-    quartiles = exact_quantiles(df, cols, probs)
-    wide = df.agg(*[F.struct(
-        F.lit(c).alias("feature"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"), *[F.lit(q).cast("double").alias(f"p{round(p * 100)}") for p, q in zip(probs, quartiles[c])],
-        F.max(c).alias("max")).alias(f"s{i}") for i, c in enumerate(cols)])
-    return wide.select(F.inline(F.array(*[f"s{i}" for i in range(len(cols))])))
+    moments = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "n": F.count}
+    quartiles, row = quantiles_with(df, cols, probs, {
+        f"{name}_of_{i}": fn(F.col(c)) for name, fn in moments.items() for i, c in enumerate(cols)})
+    names = [f"p{round(p * 100)}" for p in probs]
+    rows = [(c, *[row[f"{m}_of_{i}"] for m in ("n", "mean", "std", "min")], *quartiles[c], row[f"max_of_{i}"])
+            for i, c in enumerate(cols)]  # a row per column
+    return df.sparkSession.createDataFrame(rows, ", ".join(
+        ["feature string", "n long", *[f"{c} double" for c in ("mean", "std", "min", *names, "max")]]))
 
 
 def feature_importance(model, names: Sequence[str], spark) -> DataFrame:

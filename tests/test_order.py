@@ -59,3 +59,34 @@ def test_cutoffs_by_class(spark):
         part = df.where(F.col("c") == name)
         below = [part.where(digest("id") <= found[name, i]).count() for i in range(3)]
         assert below == [0, n // 10, n]
+
+
+def test_quantiles_of_many_rows_take_two_scans(spark):
+    """Uneven values, one of them held by a third of the rows, nulls: read twice, and exact."""
+    n = 60_000
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    u = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0
+    df = spark.range(0, n, 1, 6).select(
+        F.exp(u * 20).alias("x"), F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.floor(u * 50).cast("double")).alias("y"),
+        F.when(F.col("id") % 11 > 0, -u).alias("z"))
+    probs = [0.0, 0.001, 0.25, 1 / 3, 0.5, 0.9, 0.99999, 1.0]
+    got, row = order.quantiles_with(df.mapInArrow(count, df.schema), ["x", "y", "z"], probs, {"rows": F.count("*")})
+    assert seen.value == 2 * n and row.rows == n
+    whole = df.toPandas()
+    for c in "xyz":
+        assert got[c] == pytest.approx(list(np.nanquantile(whole[c].astype(float), probs)), rel=1e-12)
+
+
+def test_quantiles_do_not_rest_on_the_sketch(spark):
+    """Brackets that a bad sketch has put anywhere still give the exact values."""
+    df = spark.range(500).select(F.col("id").cast("double").alias("x"))
+    wanted = {("x", 0): 124.75, ("x", 1): 499.0, ("x", 2): 0.0}
+    for spans in ((3.0, 9.0), (499.0, 499.0), (0.0, 0.0)), ((124.0, 124.0), (0.0, 1.0), (400.0, 402.0)), ((125.0, 125.0), (498.0, 498.0), (1.0, 2.0)):
+        got = order._within(df, wanted, dict(zip(wanted, spans)))
+        assert got == {("x", 0): (124.0, 125.0), ("x", 1): (499.0, 499.0), ("x", 2): (0.0, 0.0)}
