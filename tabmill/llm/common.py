@@ -27,6 +27,11 @@ def texts(docs: DataFrame, *extra: str) -> DataFrame:
                        F.col("text").cast("string").alias("text"), *[F.col(c) for c in extra])
 
 
+def quoted(name: str) -> str:
+    """A column's name as it is meant, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_key() -> Column:
     """64-bit hash of a row's text: names the text where ids are null or stand for several texts."""
     return F.xxhash64(F.col("text").cast("string"))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabmill.llm.common import arrow_type, slices, texts
+from tabmill.llm.common import arrow_type, quoted, slices, texts
 
 BINS = 1 << 16         # a trigram is one of so many hashes
 SMOOTH = 0.5           # added to each count
@@ -23,6 +23,7 @@ PIECE = 1_000_000      # characters of a text taken at a time
 PENALTY = 2.0          # log likelihood, times the log of the number of trigrams, that a language must bring
 STEPS = 30             # of expectation-maximisation
 SMALL = 0.01           # a language below this share is left out at once
+DOUBT = 10.0           # log likelihood by which evenly drawn trigrams must be likelier before a text is of no language
 NONE = "und"
 
 FIT = "lang string, gram int, n long"
@@ -103,13 +104,18 @@ def proportions(chance: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[n
 
 
 def infer(model: Languages, text: str | None, penalty: float = PENALTY) -> list[tuple[str, float]]:
-    """Languages of a text and their shares, largest first; nothing without a letter or a language to choose.
+    """Languages of a text and their shares, largest first; nothing without a letter or a language to choose."""
+    return mixture(model, text, penalty)[0]
+
+
+def mixture(model: Languages, text: str | None, penalty: float = PENALTY) -> tuple[list[tuple[str, float]], float]:
+    """Languages of a text as ``infer`` gives them, and by what log likelihood they beat trigrams drawn evenly.
 
     Starts from all languages and leaves out the smallest as long as the penalised likelihood grows.
     """
     found = grams(text) if text else np.zeros(0, np.uint32)
     if not len(found) or not model.names:
-        return []
+        return [], 0.0
     bins, n = np.unique(found, return_counts=True)
     n = n.astype(float)
     chance = model.chance[bins]
@@ -126,7 +132,7 @@ def infer(model: Languages, text: str | None, penalty: float = PENALTY) -> list[
             break
         kept, share, fit_ = kept[fewer], fewer_share, fewer_fit
     order = np.lexsort((kept, -share))
-    return [(model.names[kept[i]], float(min(1.0, share[i]))) for i in order]
+    return [(model.names[kept[i]], float(min(1.0, share[i]))) for i in order], float(fit_ + len(found) * np.log(BINS))
 
 
 def held_out() -> Column:
@@ -171,11 +177,14 @@ def identified(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Documents of which one language makes up ``least`` or more: rows of ``docs``, all columns.
 
-    Texts without a letter and texts that no language explains by that share go. Columns of any name and type are kept
-    as they are: only the text goes to Python, with the whole row beside it.
+    The languages are learned from all rows that have a ``lang``. Texts without a letter (null and empty ones too) go, and
+    texts that no language explains by that share, and those to which evenly drawn trigrams are likelier than any mixture by
+    ``DOUBT``: a language that was never learned, or none. Without any ``lang`` nothing is learned and all rows go. Equal
+    texts are judged alike, an empty table gives no rows. Columns of any name and type are kept as they are: only the text
+    goes to Python, with the whole row beside it.
     """
-    model = fit(docs.where(~held_out()))
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    model = fit(docs)
+    whole = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"))
     given = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +192,8 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
             for some in slices(batch):
                 keep = []
                 for text in some.column(0).to_pylist():
-                    own = infer(given.value, text)
-                    keep.append(bool(own) and own[0][1] >= least)
+                    own, gain = mixture(given.value, text)
+                    keep.append(bool(own) and own[0][1] >= least and gain > -DOUBT)
                 yield some.select([1]).filter(pa.array(keep, pa.bool_()))
 
     return whole.select(F.col("row.text").cast("string").alias("text"), "row").mapInArrow(

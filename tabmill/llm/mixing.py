@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabmill.llm.common import WORD, text_key
+from tabmill.llm.common import WORD, quoted, text_key
 from tabmill.session import cut
 
 BLOCK = 256        # words of a block
@@ -145,7 +145,9 @@ def mixed_rows(docs: DataFrame, **settings: int) -> DataFrame:
     """The documents of the mix, each as often as its words are taken: same columns as ``docs``.
 
     A document of which the blocks hold a part is taken whole or not, by a hash of its id, text and source, with that
-    part as its chance, so the words of a source stay near its target. Rows equal in these share one draw.
+    part as its chance, so the words of a source stay near its target. Rows equal in these share one draw. Null and empty
+    texts have no words and go; a null id or source is a value like others; an empty table gives no rows. Other columns
+    may have any name.
     """
     key = ["doc_id", "text_key", "src"]
     shares = drawn(docs, **settings).groupBy(*key).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
@@ -154,7 +156,9 @@ def mixed_rows(docs: DataFrame, **settings: int) -> DataFrame:
     copies = shares.select(F.col("doc_id").alias("mix_id"), F.col("text_key").alias("mix_text"), F.col("src").alias("mix_src"),
                            (F.floor(share) + (chance < share - F.floor(share)).cast("int")).cast("int").alias("mix_copies")) \
         .where("mix_copies > 0")
-    taken = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(copies["mix_id"])
-                      & (text_key() == copies["mix_text"]) & (named_source() == copies["mix_src"]))
-    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "mix_copies")).alias("mix_copy")) \
-        .select(*docs.columns)
+    whole = F.struct(*[F.col(quoted(c)) for c in docs.columns])  # one column, so names cannot clash with those used here
+    rows = docs.select(whole.alias("row"), F.col("doc_id").cast("long").alias("own_id"), text_key().alias("own_text"),
+                       named_source().alias("own_src"))
+    taken = rows.join(copies, F.col("own_id").eqNullSafe(F.col("mix_id")) & (F.col("own_text") == F.col("mix_text"))
+                      & (F.col("own_src") == F.col("mix_src")))
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "mix_copies")).alias("copy")).select("row.*")

@@ -83,6 +83,32 @@ def brute_measure(text):
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), r, n < 50 or 100 * r > 50 * n
 
 
+def test_texts_of_no_learned_language_go(spark):
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    strange = ["これは日本語の文章です。私たちは毎日新聞を読みますが、今日は読みません。", "Привет, как дела сегодня",
+               "asdkjh qwlekj zxmcnb qpwoei lkjasd mnbzxc pqowie alskdj zmxncb",
+               "Bugün hava çok güzel ve biz parka yürüyüşe gidiyoruz, sonra eve döneceğiz", "", " 12 ", None]
+    whole = given.unionByName(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(strange)], given.schema))
+    kept = {r.doc_id for r in langid.accepted(whole).select("doc_id").collect()}
+    assert not any(i < 0 for i in kept)
+    with_letters = {r.doc_id for r in given.collect() if any(c.isalpha() for c in r.text or "")}
+    assert kept == with_letters  # in this table one language makes up most of every text
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, `a.b` int, `mix_copy` string, mix_copies int, `row` string, own_id int, `x``y` int"
+
+
+@pytest.mark.parametrize("stage", [langid.accepted, mixing.mixed_rows])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    rows = [(i, "the quick brown fox jumps over the lazy dog " * 40, "en", "s", i, f"c{i}", 2, "r", 7, i) for i in range(30)]
+    rows += [(None, "the quick brown fox " * 30, "en", None, None, None, None, None, None, None), (50, None, None, None, 1, "", 1, "", 1, 1)]
+    docs = spark.createDataFrame(rows, AWKWARD)
+    out = stage(docs)
+    assert out.schema.names == docs.schema.names and out.count() > 0
+    assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in rows}
+    assert stage(docs.limit(0)).count() == 0
+
+
 def test_compression_counts(docs):
     got = sorted(tuple(r)[:7] for r in compression.rules(docs.where("doc_id is not null")).collect())
     assert got == sorted((r[0], *brute_measure(r[1])) for r in rows() if r[0] is not None)
