@@ -3,9 +3,9 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
-from tabmill.operators import evaluate, features as feat, score, split, train
+from tabmill.operators import evaluate, features as feat, runs, score, split, train
 from tabmill.plans import all_queries
 
 QUERIES, _ = all_queries()
@@ -103,3 +103,23 @@ def test_text_classes_without_a_known_word(spark):
     rest = spark.createDataFrame([(9, "an apple"), (10, "car"), (11, "unheard of"), (12, "")], "id int, t string")
     assert {r.id: r.prediction for r in train.score_text_classes(model, rest, "id", "t").collect()} == {
         9: "f", 10: "v", 11: "f", 12: "f"}
+
+
+def test_logistic_models_score_in_a_session_that_has_observed(spark):
+    session = spark.newSession()
+    seen = Observation()
+    session.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    df = session.range(200).select("id", (F.col("id") / 200).alias("a"), (F.col("id") > 90).cast("double").alias("label"), F.lit(1.0).alias("w"))
+    log, best = train.choose(df, df, train.classifier_candidates(["a"]), BinaryClassificationEvaluator(metricName="areaUnderPR"))
+    assert log.where("kind = 'metric'").count() == 2
+    model = train.scaled(["a"], train.weighted_logistic("w")).fit(df)
+    assert model.transform(df).where("label <> prediction").count() == 0
+
+
+def test_lineage_leaves_the_session_fit_for_plain_models(spark):
+    session = spark.newSession()
+    edges = session.createDataFrame([("e", "input", "x"), ("e", "output", "y")], "execution string, direction string, artifact string")
+    assert runs.upstream(edges, session.createDataFrame([("y",)], "node string")).count() == 3
+    df = session.range(200).select((F.col("id") / 200).alias("a"), (F.col("id") > 90).cast("double").alias("label"))
+    assert train.plain(["a"], LogisticRegression()).fit(df).transform(df).where("label <> prediction").count() == 0
