@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabmill.session import cut, fresh_path
 
@@ -101,10 +101,9 @@ def _ancestors(stored: DataFrame, hot: DataFrame, targets: DataFrame) -> DataFra
     frontier, depth = seen.select("node"), 0
     while True:  # each node is met once, so the rounds end
         depth += 1
-        counted = Observation()
-        new = cut(_reached(stored, hot, frontier).join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
-                  .observe(counted, F.count("*").alias("n")))
-        if counted.get["n"] == 0:
+        # no Observation: once a session has made one, Spark's binary logistic models, which hold the session, cannot be sent to tasks
+        new = cut(_reached(stored, hot, frontier).join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
+        if new.isEmpty():
             return seen
         seen = seen.unionByName(new)
         if depth % 20 == 0:  # keeps the plan of a deep lineage short

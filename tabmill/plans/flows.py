@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -54,7 +53,7 @@ def retraining_flow(spark: SparkSession, sf: str) -> DataFrame:
     if decision["retrain"]:
         marked = split.fractions(rows, ["event_id"], (0.8, 0.2), ("train", "test"), fast=False)
         with train.held(marked.where("split = 'train'")) as fit:
-            model = train.scaled(["value", "k"], LogisticRegression(maxIter=20)).fit(fit)
+            model = train.scaled(["value", "k"], train.Logistic(maxIter=20)).fit(fit)
         tested = model.transform(marked.where("split = 'test'"))
         metric = tested.agg(evaluate.accuracy("label", "prediction").alias("value")).select(
             F.lit("accuracy").alias("metric"), "value")
