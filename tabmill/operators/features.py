@@ -155,13 +155,25 @@ class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, Default
 
 # -- text -------------------------------------------------------------------------------
 
+TASK_TEXT = 16 << 20  # bytes of text that a task counts: its words and their counts take about 20 times as much
+
+
+def text_tasks(df: DataFrame, text: str, task_bytes: int = TASK_TEXT) -> int:
+    """Tasks to count the words of some texts with: by their bytes, and more of them to keep all cores busy."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(size / task_bytes), min(cores, math.ceil(size / (1 << 20))))
+
+
 def term_counts(df: DataFrame, key: str, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """``(key, keep..., term, n)`` over whole texts; ``keep`` are columns of the same row.
 
     The texts are placed by key before they are taken apart: a text is smaller than its words,
-    and neither the counting nor a later step per document has to move them again.
+    and neither the counting nor a later step per document has to move them again. They are placed
+    in as many parts as their bytes need, measured first: merged by their size as moved, which is
+    that of packed texts, the parts would grow with the table and their words spill.
     """
-    return (df.select(key, *keep, text).repartition(key)
+    return (df.select(key, *keep, text).repartition(text_tasks(df, text), key)
             .select(key, *keep, F.explode(words_of.words(text)).alias("term"))
             .groupBy(key, *keep, "term").agg(F.count("*").alias("n")))
 

@@ -83,6 +83,15 @@ def test_texts_move_once(spark):
     assert plan.split("Initial Plan")[0].count("Exchange") == 1
 
 
+def test_parts_of_texts_grow_in_number_not_in_size(spark):
+    df = spark.range(400).select("id", F.lit("aa bb cc dd " * 5).alias("t"))  # 60 bytes each
+    assert feat.text_tasks(df, "t", 600) == 40
+    assert feat.term_counts(df, "id", "t").count() == 1600
+    assert feat.text_tasks(df.where("id < 0"), "t") == 1
+    parted = spark.range(0, 3000, 1, 4).select("id", F.expr("repeat('aa bb ', 4000)").alias("t"))  # 72 MB in few bytes when packed
+    assert feat.term_counts(parted, "id", "t").rdd.getNumPartitions() >= 5
+
+
 def test_plain_text(spark):
     df = spark.createDataFrame([("It's 5 o'clock, «Élan»!",)], "t string")
     assert df.select(plain("t").alias("t")).first().t == "its 5 oclock «élan»"
