@@ -8,10 +8,11 @@ contributions are expressions over them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabmill.operators.features import bin_of, exact_edges
@@ -199,14 +200,24 @@ def forest(trees: Sequence[Tree]) -> Column:
 
 
 def margins(df: DataFrame, model: Boosted, out: str = "margins") -> DataFrame:
-    """Sum of the leaves per output."""
-    x = F.col("_x")
-
-    def leaf(tree: Column) -> Column:
-        return at(tree["leaves"], F.reduce(tree["levels"], F.lit(0), lambda node, level: node * 2 + goes_right(x, level, node)))
-
-    sums = [F.reduce(forest([t for t in model.trees if t.output == k]), F.lit(0.0), lambda s, tree: s + leaf(tree)) for k in range(model.outputs)]
-    return df.withColumn("_x", model.binned()).withColumn(out, F.array(*sums)).drop("_x")
+    """Sum of the leaves per output; a tree is walked by whole batches of rows."""
+    outputs = model.outputs
+    trees = [(t.output, list(zip(t.features, t.bins)), t.values[-1]) for t in model.trees]  # plain lists: tasks need no module of ours
+
+    @F.pandas_udf("array<double>")
+    def walk(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            x = np.column_stack(columns)
+            sums, row = np.zeros((len(x), outputs)), np.arange(len(x))
+            for output, levels, leaves in trees:
+                node = np.zeros(len(x), dtype=np.int64)
+                for features, bins in levels:
+                    feature = np.array(features)[node]
+                    node = node * 2 + ((feature >= 0) & (x[row, feature] > np.array(bins)[node]))
+                sums[:, output] += np.array(leaves)[node]
+            yield pd.Series(list(sums))
+
+    return df.withColumn(out, walk(*[bin_of(F.col(c).cast("double"), e) for c, e in zip(model.features, model.edges)]))
 
 
 def predictions(df: DataFrame, model: Boosted) -> DataFrame:

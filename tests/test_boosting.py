@@ -97,3 +97,22 @@ def test_nothing_to_fit_and_unknown_losses(rows):
         boosting.fit(rows.where("id < 0"), "y", ["a", "b"])
     with pytest.raises(ValueError):
         boosting.fit(rows, "y", ["a", "b"], "hinge")
+
+
+def test_many_trees_are_walked_by_batches(spark):
+    """The sum of the leaves as the trees say, missing values and trees of one leaf included; no tree is part of the plan."""
+    trees = [boosting.Tree(i % 2, [[i % 2], [0, 1]], [[i % 3], [1, 0]], [[0.0], [0.5, 0.5], [float(i), -1.0, 2.0, i / 7]]) for i in range(60)]
+    trees.append(boosting.Tree(1, [], [], [[0.25]]))
+    model = boosting.Boosted("softmax", ["a", "b"], [[1.0, 2.0, 3.0], [5.0, 6.0]], 2, trees, [])
+    table = [(None if i % 11 == 0 else i % 5 * 1.0, i % 7 + 1.0) for i in range(80)]
+    scored = boosting.margins(spark.createDataFrame(table, "a double, b double"), model)
+    assert len(scored._jdf.queryExecution().optimizedPlan().toString()) < 3000
+    for r in scored.collect():
+        x = [-1 if v is None else sum(v >= e for e in es) for v, es in zip((r.a, r.b), model.edges)]
+        want = [0.0, 0.0]
+        for t in trees:
+            node = 0
+            for f, b in zip(t.features, t.bins):
+                node = node * 2 + (x[f[node]] > b[node])
+            want[t.output] += t.values[-1][node]
+        assert r.margins == want
