@@ -30,6 +30,20 @@ def test_order_statistics_of_uneven_values(spark):
     assert [got["n", k] for k in ranks] == [longs[k] for k in ranks]
 
 
+def test_a_value_is_counted_once_per_column_for_many_ranks(spark):
+    """The spans of a column are told apart by a search, not by a condition for each in the plan."""
+    df = spark.range(3000).select((F.pmod(F.xxhash64("id"), F.lit(997)) / 7).alias("x"), F.lit(None).cast("double").alias("none"))
+    spans = [("x", float(i), i + 0.5) for i in range(100)]
+    counted = order._bins_of_doubles(df, spans)
+    assert len(counted._jdf.queryExecution().optimizedPlan().toString()) < 3000
+    values = [r.x for r in df.collect()]
+    got = {i: 0 for i in range(100)}
+    for r in counted.collect():
+        got[r.span] += r.n
+        assert spans[r.span][1] <= r["first"] <= r["last"] <= spans[r.span][2]
+    assert got == {i: sum(i <= v <= i + 0.5 for v in values) for i in range(100)}
+
+
 def test_order_statistics_at_the_ends_of_the_range(spark):
     inf, big = float("inf"), 1.7e308
     values = [-inf, -inf, -big, -1.0, 0.0, 5e-324, 1e-323, 1.0, big, inf, inf, inf]
