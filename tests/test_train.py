@@ -1,6 +1,6 @@
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Observation, functions as F
@@ -123,3 +123,49 @@ def test_lineage_leaves_the_session_fit_for_plain_models(spark):
     assert runs.upstream(edges, session.createDataFrame([("y",)], "node string")).count() == 3
     df = session.range(200).select((F.col("id") / 200).alias("a"), (F.col("id") > 90).cast("double").alias("label"))
     assert train.plain(["a"], LogisticRegression()).fit(df).transform(df).where("label <> prediction").count() == 0
+
+
+def many(spark, n=3000):
+    """Rows with a column of more values than bins, and a label no tree reaches."""
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000
+    return spark.range(n, numPartitions=4).select(
+        "id", (F.col("id") % 50).cast("double").alias("a"), noise.alias("b"), F.lit(3.0).alias("c"),
+        ((F.col("id") % 50 > 20) & (noise > 0.4) | (noise > 0.9)).cast("double").alias("label"),
+        (F.pmod("id", F.lit(3)) + 1).cast("double").alias("weight"), (F.col("id") % 5 == 0).alias("held_out"))
+
+
+@pytest.mark.parametrize("trees, label", [
+    (lambda: train.boosted_trees(depth=3, rounds=3, weight="weight"), "label"),
+    (lambda: train.boosted_trees(depth=3, rounds=3, validation="held_out"), "label"),
+    (lambda: train.boosted_classes(depth=2, rounds=2), "a % 3"),
+    (lambda: train.tree_regressor(depth=3, rounds=4), "a * b"),
+])
+def test_trees_on_merged_rows_are_the_same(spark, trees, label):
+    df = many(spark).withColumn("label", F.expr(label)).cache()
+    told = [build(["a", "b", "c"], trees()).fit(df).transform(df).select("id", F.round("prediction", 9).alias("p"))
+            for build in (train.plain, train.binned)]
+    assert told[0].exceptAll(told[1]).count() == 0
+
+
+def test_merged_rows_do_not_grow_with_the_table(spark):
+    cells = train.Cells()
+    gbt = train.boosted_trees(depth=2, rounds=1).setMaxBins(8)
+    df = many(spark, 20_000)
+    for _ in range(2):
+        train.binned(["a", "b"], gbt, cells).fit(df)
+    [(_, merged)] = cells.done.values()  # the second fit merges nothing
+    assert merged.count() <= 8 * 8 * 2
+    assert merged.agg(F.sum("_weight")).first()[0] == 20_000
+
+
+def test_rows_drawn_at_random_are_not_merged(spark):
+    for trees in (RandomForestClassifier(), train.boosted_trees().setSubsamplingRate(0.5), train.boosted_trees().setMinInstancesPerNode(2)):
+        with pytest.raises(ValueError):
+            train.binned(["a"], trees)
+
+
+def test_a_bound_itself_goes_left(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "a double, label double")
+    model = train.binned(["a"], train.boosted_trees(depth=1, rounds=1)).fit(df)
+    rows = spark.createDataFrame([(0.5,), (0.50001,)], "a double")
+    assert [r[0] for r in model.transform(rows).orderBy("a").select("prediction").collect()] == [0.0, 1.0]
