@@ -20,6 +20,7 @@ from tabmill.session import fresh_path
 # Odd multipliers of a published 64-bit mixer, and the usual constants of Adam
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 BETA1, BETA2, TINY = 0.9, 0.999, 1e-8
+OWN = ("hidden", "dropout", "epochs", "rate")  # settings in which networks fitted together may differ
 
 
 @dataclass
@@ -119,6 +120,39 @@ def fit(df: DataFrame, label: str, features: Sequence[str], key: Sequence[str],
     With ``judge`` every epoch ends with ``mse`` and ``mae`` (squared) or ``loss`` and ``accuracy`` over its rows, in ``history``. Rows with a missing
     number are left out; rows with one key share batch and dropped units; a constant feature says nothing. Tables without rows raise.
     """
+    return fits(df, label, features, key, [{"hidden": hidden, "dropout": dropout, "epochs": epochs, "rate": rate}], loss, batches, weight, seed, judge)[0]
+
+
+@dataclass
+class Course:
+    """A network on its way: its settings, weights and the running means of Adam."""
+
+    net: Network
+    hidden: Sequence[int] = (16, 16)
+    dropout: Sequence[float] = ()
+    epochs: int = 10
+    rate: float = 0.03
+
+    def begin(self, inputs: int, seed: int) -> None:
+        random = np.random.default_rng(seed)
+        sizes = [inputs, *self.hidden, 1]
+        self.net.layers = [(random.normal(size=(a, b)) * np.sqrt(2 / a), np.zeros(b)) for a, b in zip(sizes, sizes[1:])]
+        self.flat = np.concatenate([v.ravel() for pair in self.net.layers for v in pair])
+        self.first, self.second = np.zeros(len(self.flat)), np.zeros(len(self.flat))
+
+    def advance(self, gradient: np.ndarray, step: int) -> None:
+        self.first = BETA1 * self.first + (1 - BETA1) * gradient
+        self.second = BETA2 * self.second + (1 - BETA2) * gradient ** 2
+        self.flat = self.flat - self.rate * (self.first / (1 - BETA1 ** step)) / (np.sqrt(self.second / (1 - BETA2 ** step)) + TINY)
+        self.net.layers = unpacked(self.flat, self.net.layers)
+
+
+def fits(df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], settings: Sequence[Mapping], loss: str = "squared", batches: int = 8,
+         weight: str | None = None, seed: int = 2, judge: DataFrame | None = None) -> list[Network]:
+    """A network per setting (``hidden``, ``dropout``, ``epochs``, ``rate`` of ``fit``), each as if fitted alone.
+
+    They share the written batches and go step by step together: one job a step reads its batch once, whatever the number of settings.
+    """
     if loss not in ("squared", "logistic"):
         raise ValueError(f"no loss {loss}")
     features, p = list(features), len(features)
@@ -143,45 +177,53 @@ def fit(df: DataFrame, label: str, features: Sequence[str], key: Sequence[str],
     held = df.sparkSession.read.parquet(path)
     judged = scaled(judge.select(*shaped, own, hashed).dropna()).persist() if judge is not None else None
 
-    random = np.random.default_rng(seed)
-    sizes = [p, *hidden, 1]
-    layers = [(random.normal(size=(a, b)) * np.sqrt(2 / a), np.zeros(b)) for a, b in zip(sizes, sizes[1:])]
-    flat = np.concatenate([v.ravel() for pair in layers for v in pair])
-    net = Network(features, loss, layers, mean, scale, center, spread)
-    first, second, step = np.zeros(len(flat)), np.zeros(len(flat)), 0
-    for _ in range(epochs):
+    courses = [Course(Network(features, loss, [], mean, scale, center, spread), **s) for s in settings]
+    for c in courses:
+        c.begin(p, seed)
+    step = 0
+    for epoch in range(max((c.epochs for c in courses), default=0)):
+        going = [c for c in courses if epoch < c.epochs]
         for b in range(batches):
             step += 1
-            now, layers = step, unpacked(flat, layers)
+            nets = [(c.net.layers, c.hidden, c.dropout) for c in going]
 
-            def grade(batch: pa.RecordBatch, layers=layers, now=now) -> np.ndarray:
+            def grade(batch: pa.RecordBatch, nets=nets, now=step) -> np.ndarray:
                 x, y, w, keys = arrays(batch, p)
-                masks = [kept(keys, units, now, i, share) if share else None for i, (units, share) in enumerate(zip(hidden, dropout))]
-                return np.concatenate([*(g.ravel() for g in gradients(layers, x, y, w, masks, loss)), [w.sum()]])
+                found = []
+                for layers, hidden, dropout in nets:
+                    masks = [kept(keys, units, now, i, share) if share else None for i, (units, share) in enumerate(zip(hidden, dropout))]
+                    found += [g.ravel() for g in gradients(layers, x, y, w, masks, loss)]
+                return np.concatenate([*found, [w.sum()]])
 
-            total = summed(held.where(F.col("batch") == b), grade, len(flat) + 1)
+            total = summed(held.where(F.col("batch") == b), grade, sum(len(c.flat) for c in going) + 1)
             if not total[-1]:
                 continue  # no row fell into this batch
-            gradient = total[:-1] / total[-1]
-            first = BETA1 * first + (1 - BETA1) * gradient
-            second = BETA2 * second + (1 - BETA2) * gradient ** 2
-            flat = flat - rate * (first / (1 - BETA1 ** step)) / (np.sqrt(second / (1 - BETA2 ** step)) + TINY)
-        net.layers = layers = unpacked(flat, layers)
+            at = 0
+            for c in going:
+                c.advance(total[at:at + len(c.flat)] / total[-1], step)
+                at += len(c.flat)
         if judged is not None:
-            def judge_batch(batch: pa.RecordBatch, layers=layers) -> np.ndarray:
-                x, y, w, _ = arrays(batch, p)
-                out = forward(layers, x)[-1][:, 0]
-                if loss == "squared":
-                    miss = (out - y) * spread
-                    return np.array([len(y), (miss ** 2).sum(), np.abs(miss).sum()])
-                return np.array([len(y), (np.logaddexp(0, out) - out * y).sum(), ((out > 0) == (y > 0.5)).sum()])
+            nets = [c.net.layers for c in going]
 
-            n, one, two = summed(judged, judge_batch, 3)
+            def judge_batch(batch: pa.RecordBatch, nets=nets) -> np.ndarray:
+                x, y, w, _ = arrays(batch, p)
+                found = [len(y)]
+                for layers in nets:
+                    out = forward(layers, x)[-1][:, 0]
+                    if loss == "squared":
+                        miss = (out - y) * spread
+                        found += [(miss ** 2).sum(), np.abs(miss).sum()]
+                    else:
+                        found += [(np.logaddexp(0, out) - out * y).sum(), ((out > 0) == (y > 0.5)).sum()]
+                return np.array(found, dtype=float)
+
+            n, *sums = summed(judged, judge_batch, 1 + 2 * len(going))
             names = ("mse", "mae") if loss == "squared" else ("loss", "accuracy")
-            net.history.append(dict(zip(names, (one / n, two / n))) if n else {})
+            for i, c in enumerate(going):
+                c.net.history.append(dict(zip(names, (sums[2 * i] / n, sums[2 * i + 1] / n))) if n else {})
     if judged is not None:
         judged.unpersist()
-    return net
+    return [c.net for c in courses]
 
 
 def predictions(df: DataFrame, net: Network, out: str = "prediction") -> DataFrame:
@@ -207,8 +249,20 @@ def grid(train: DataFrame, judge: DataFrame, label: str, features: Sequence[str]
 
     Lists among the parameters are logged by their elements, ``hidden.0``, ``hidden.1``; the last epoch's metrics come again without a step.
     """
+    whole = [{**fixed, **s} for s in settings]
+    groups: list[tuple[dict, list[int]]] = []  # runs that differ in nothing but the network itself are fitted together
+    for i, s in enumerate(whole):
+        common = {k: v for k, v in s.items() if k not in OWN}
+        found = next((runs for shared, runs in groups if shared == common), None)
+        if found is None:
+            groups.append((common, [i]))
+        else:
+            found.append(i)
     with ThreadPool(parallelism) as pool:
-        histories = pool.map(lambda s: fit(train, label, features, key, judge=judge, **{**fixed, **s}).history, settings)
+        nets = pool.map(lambda g: fits(train, label, features, key, [{k: v for k, v in whole[i].items() if k in OWN} for i in g[1]],
+                                       judge=judge, **g[0]), groups)
+    by_run = {i: net.history for (_, runs), fitted in zip(groups, nets) for i, net in zip(runs, fitted)}
+    histories = [by_run[i] for i in range(len(settings))]
     log = []
     for i, (setting, history) in enumerate(zip(settings, histories)):
         for name, value in setting.items():

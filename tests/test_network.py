@@ -64,3 +64,15 @@ def test_row_weights_move_the_decision(rows):
     assert share[1] > share[0]
     with pytest.raises(ValueError):
         network.fit(df.where("id < 0"), "hit", ["a"], ["id"])
+
+
+def test_networks_fitted_together_are_as_if_alone(spark):
+    df = spark.range(600).select("id", (F.col("id") % 10).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    df = df.withColumn("y", 2 * F.col("a") - F.col("b"))
+    settings = [{"hidden": [4], "epochs": 1}, {"hidden": [8, 4], "dropout": [0.2], "epochs": 3}]
+    together = network.fits(df, "y", ["a", "b"], ["id"], settings, judge=df)
+    for net, setting in zip(together, settings):
+        alone = network.fit(df, "y", ["a", "b"], ["id"], judge=df, **setting)
+        assert len(net.history) == setting["epochs"]
+        for one, other in zip(net.history, alone.history):
+            assert one == pytest.approx(other)
