@@ -169,3 +169,33 @@ def test_a_bound_itself_goes_left(spark):
     model = train.binned(["a"], train.boosted_trees(depth=1, rounds=1)).fit(df)
     rows = spark.createDataFrame([(0.5,), (0.50001,)], "a double")
     assert [r[0] for r in model.transform(rows).orderBy("a").select("prediction").collect()] == [0.0, 1.0]
+
+
+@pytest.mark.parametrize("rate", [1.0, 0.3])
+def test_forests_on_merged_rows_learn_as_well(spark, rate):
+    df = many(spark).withColumn("label", F.expr("cast(a > 20 as double) + cast(b > 0.5 as double)")).cache()
+    forest = lambda: RandomForestClassifier(maxDepth=4, maxBins=16, subsamplingRate=rate, numTrees=15, seed=2)
+    right = [build(["a", "b", "c"], forest()).fit(df).transform(df).where("label = prediction").count() / df.count()
+             for build in (train.plain, train.BinnedForest)]
+    assert min(right) > 0.95
+
+
+def test_forests_on_merged_rows_repeat_and_do_not_grow(spark):
+    forest = lambda: RandomForestClassifier(maxDepth=3, maxBins=8, subsamplingRate=0.4, numTrees=3, seed=2)
+    df = many(spark, 20_000)
+    cells = train.Cells()
+    told = [train.BinnedForest(["a", "b"], forest(), cells).fit(rows).transform(df).select("id", "prediction") for rows in (df, df.repartition(3))]
+    assert told[0].exceptAll(told[1]).count() == 0
+    [(cutter, merged)] = cells.done.values()
+    assert merged.count() <= 8 * 8 * 2
+    by = [*cutter.getOutputCols(), "label"]
+    one, two = (train.drawn(merged.repartition(n), by, ["x", "y"], 0.4, 2) for n in (1, 5))
+    assert one.exceptAll(two).count() == 0
+    x, y = one.agg(F.sum("x"), F.sum("y")).first()  # mean 8,000, deviation 89
+    assert x != y and all(abs(v - 8000) < 500 for v in (x, y))
+
+
+def test_forests_that_weigh_or_count_rows_are_not_merged(spark):
+    for forest in (RandomForestClassifier(bootstrap=False), RandomForestClassifier(minInstancesPerNode=2), RandomForestClassifier(weightCol="w")):
+        with pytest.raises(ValueError):
+            train.BinnedForest(["a"], forest)
