@@ -72,16 +72,23 @@ def shingle_set(own: list[bytes], width: int) -> set[tuple[bytes, ...]]:
     return set(zip(*[own[i:] for i in range(width)]))
 
 
+@lru_cache(maxsize=16)
+def multipliers(width: int) -> np.ndarray:
+    """An odd one for each place of a shingle."""
+    return mix(np.arange(width, dtype=np.uint64)) | np.uint64(1)
+
+
 def shingle_hashes(own: list[bytes], width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; fewer words are one shingle."""
     if not own:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(HASHES.__getitem__, own), np.uint64, len(own))
     spots = max(1, len(h) - width + 1)
+    odd = multipliers(width)
     with np.errstate(over="ignore"):
         total = np.full(spots, len(h) if len(h) < width else width, np.uint64)
-        for i in range(min(width, len(h))):
-            total = total + mix(h[i:i + spots] + np.uint64(i)) * np.uint64(2 * i + 1)
+        for i in range(min(width, len(h))):  # the words' hashes are mixed well already: an odd multiplier for each place is enough
+            total += h[i:i + spots] * odd[i]
     return np.unique(mix(total))
 
 
@@ -198,21 +205,33 @@ def set_hash(values: np.ndarray) -> int:
         return int(mix(np.array([mix(values ^ STEP).sum() + np.uint64(len(values))])).view(np.int64)[0])
 
 
-def sets(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
-    """Set size, set hash and sketch of every document, and the key of its text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("sketch", pa.binary())])
+def sets(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int, tuple[int, int, bool]] | None = None) -> DataFrame:
+    """Set size, set hash and sketch of every document, and the key of its text; with ``plan`` also the keys of its set in the index, ``keys``.
+
+    A task gives the keys of a set once, as long as it remembers the set; what it forgets is only given again.
+    """
+    fields = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("sketch", pa.binary())]
+    schema = pa.schema(fields + [("keys", pa.list_(pa.int64()))] * (plan is not None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, 64 if plan is not None else 512):
                 rows = []
                 for doc_id, text, key in zip(*[c.to_pylist() for c in some.columns]):
-                    values = shingle_hashes(words(text), width)
-                    rows.append((doc_id, key, len(values), set_hash(values), sketch(values, limit)) if len(values)
-                                else (doc_id, key, 0, None, None))
+                    values, keys = shingle_hashes(words(text), width), None
+                    row = (doc_id, key, len(values), set_hash(values), sketch(values, limit)) if len(values) else (doc_id, key, 0, None, None)
+                    if plan is not None:
+                        if len(values) and row[3] not in given:
+                            if len(given) >= KNOWN:
+                                given.clear()
+                            given.add(row[3])
+                            keys = index_keys(values, limit, plan).view(np.int64)
+                        row = (*row, keys)
+                    rows.append(row)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return texts(docs).withColumn("text_key", text_key()).mapInArrow(run, SETS)
+    return texts(docs).withColumn("text_key", text_key()).mapInArrow(run, SETS + ", keys array<long>" * (plan is not None))
 
 
 def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int, tuple[int, int, bool]]) -> DataFrame:
@@ -412,13 +431,17 @@ def all_verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int,
     return cut(met.mapInArrow(run, "a long, b long"))
 
 
-def bucketed(docs: DataFrame, width: int, limit: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents, their distinct sets, and the members ``key, h, lo`` of buckets of several sets, with the least of each."""
-    whole = cut(sets(docs, width, limit))
+def bucketed(docs: DataFrame, width: int, limit: tuple[int, int], kept: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents, their distinct sets, and the members ``key, h, lo`` of buckets of several sets, with the least of each.
+
+    The index is read twice. ``kept``, it is written with the documents, once: less time, and about as much disk as the texts take.
+    """
+    plan = banded(docs, limit)
+    whole = cut(sets(docs, width, limit, plan if kept else None))
     own = whole.where("h is not null").groupBy("h").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"),
                                                        F.first("sketch").alias("sketch"))
     own = cut(own)
-    index = entries(docs, width, limit, banded(docs, limit))
+    index = whole.select(F.explode("keys").alias("key"), "h") if kept else entries(docs, width, limit, plan)
     # written apart, so that the exchange of all entries is gone from the disks before they are exchanged again
     heads = cut_clean(index.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
     members = cut_clean(index.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
@@ -430,7 +453,7 @@ def links(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT)
 
     In a family of n different sets these are up to n (n - 1) / 2.
     """
-    whole, own, members = bucketed(docs, width, limit)
+    whole, own, members = bucketed(docs, width, limit, kept=True)
     many = members.groupBy("key").agg(F.count("*").alias("many"))
     every = members.join(many, "key").select("key", "h", F.col("h").alias("root"), "many")  # each set its own root
     return whole.select("doc_id", "text_key", "n", "h"), all_verified(apart_pairs(every, own, limit), own, docs, width, limit)

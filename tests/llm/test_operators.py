@@ -506,3 +506,14 @@ def test_ids_of_any_width_go_to_one_shard(spark):
     wide = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     narrow = wide.withColumn("doc_id", F.col("doc_id").cast("int"))
     assert sorted(shards.place(wide, 24).collect()) == sorted(shards.place(narrow, 24).collect(), key=tuple)
+
+
+def test_a_kept_index_is_the_index(docs, empty):
+    """The texts are cut to shingles in one pass, and the keys read again are those made from the texts."""
+    for given in (docs, empty):
+        whole, own, members = setjoin.bucketed(given, 4, (85, 100), kept=True)
+        _, _, again = setjoin.bucketed(given, 4, (85, 100))
+        assert sorted(map(tuple, members.collect())) == sorted(map(tuple, again.collect()))
+        plan = setjoin.banded(given, (85, 100))
+        made = setjoin.entries(given, 4, (85, 100), plan).distinct()
+        assert sorted(map(tuple, made.collect())) == sorted(map(tuple, whole.selectExpr("explode(keys) key", "h").distinct().collect()))
