@@ -31,6 +31,7 @@ LARGE = 64             # sets from which a bucket is large
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
 CHECK_COST = 0.02      # cost of comparing the sketches of two sets of a bucket, in index entries
 DEALS = 4              # parts in which the sets of a block are dealt for the verification of all pairs
+SHARES = 4             # of the keys, whose sets are compared one share after the other where only components are asked for
 WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
 KNOWN = 200_000        # words of which a worker remembers the hash, and sets whose keys a task has given
 
@@ -261,11 +262,22 @@ def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int,
     return docs.select(F.col("text").cast("string").alias("text")).where("text is not null").mapInArrow(run, "key long, h long")
 
 
+def cut_clean(df: DataFrame) -> DataFrame:
+    """Write and go on from what was written; the exchanges of the write are deleted with its end."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return cut(df)
+    finally:
+        conf.set(name, before)
+
+
 def held_texts(needed: DataFrame, own: DataFrame, docs: DataFrame) -> DataFrame:
     """``h, text``: a text of each set hash in ``needed``."""
     found = needed.distinct().join(own.select("h", "text_key"), "h")
     whole = docs.select(text_key().alias("text_key"), F.col("text").cast("string").alias("text")).where("text is not null")
-    return cut(found.join(whole, "text_key").select("h", "text").dropDuplicates(["h"]))
+    return cut_clean(found.join(whole, "text_key").select("h", "text").dropDuplicates(["h"]))
 
 
 def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
@@ -279,7 +291,7 @@ def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limi
                     for na, nb, x, y in zip(*[batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")])]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    close = cut(short.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near, "a long, b long"))
+    close = cut_clean(short.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near, "a long, b long"))
     held = held_texts(close.select(F.col("a").alias("h")).union(close.select(F.col("b").alias("h"))), own, docs)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +307,7 @@ def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limi
                     keep.append(limit[1] * both >= limit[0] * (len(other) + len(known) - both))
                 yield some.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return cut(close.join(held.select(F.col("h").alias("a"), F.col("text").alias("ta")), "a")
+    return cut_clean(close.join(held.select(F.col("h").alias("a"), F.col("text").alias("ta")), "a")
                .join(held.select(F.col("h").alias("b"), F.col("text").alias("tb")), "b")
                .select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"))
 
@@ -306,17 +318,17 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars by turns: every node's neighbours are tied to the smallest of them, until nothing changes. A hot
     node is a key of a partial minimum and of a join, never a list.
     """
-    now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    now = cut_clean(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     state = None
     while True:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = cut(large)
+        large = cut_clean(large)
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .union(lowest.select("a", F.col("m").alias("b"))).where("a <> b")
-        now = cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        now = cut_clean(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
@@ -324,24 +336,13 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
-def cut_clean(df: DataFrame) -> DataFrame:
-    """Write and go on from what was written; the exchanges of the write are deleted with its end."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name, "false")
-    conf.set(name, "true")
-    try:
-        return cut(df)
-    finally:
-        conf.set(name, before)
-
-
 def still_apart(members: DataFrame, links: DataFrame) -> DataFrame:
     """Of ``key, h``: the buckets that hold sets of several components, ``key, h, root, many``."""
     placed = members.join(components(links).withColumnRenamed("node", "h"), "h", "left").select(
         "key", "h", F.coalesce("root", "h").alias("root"))
     split = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("many")) \
         .where("r1 < r2").select("key", "many")
-    return cut(placed.join(split, "key").select("key", "h", "root", "many"))
+    return cut_clean(placed.join(split, "key").select("key", "h", "root", "many"))
 
 
 def apart_pairs(members: DataFrame, own: DataFrame, limit: tuple[int, int]) -> DataFrame:
@@ -401,7 +402,7 @@ def all_verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int,
     """
     deal = F.pmod(F.xxhash64("a"), F.lit(DEALS)) * DEALS + F.pmod(F.xxhash64("b"), F.lit(DEALS))
     group = ["key", "i", "j", "deal"]
-    once = cut(pairs.groupBy("a", "b").agg(F.min(F.struct("key", "i", "j")).alias("g")).select("g.*", deal.alias("deal"), "a", "b"))
+    once = cut_clean(pairs.groupBy("a", "b").agg(F.min(F.struct("key", "i", "j")).alias("g")).select("g.*", deal.alias("deal"), "a", "b"))
     ends = once.select(*group, F.col("a").alias("h")).union(once.select(*group, F.col("b").alias("h"))).distinct()
     met = ends.join(held_texts(ends.select("h"), own, docs), "h").select(*group, F.col("h").alias("a"), F.lit(None).cast("long").alias("b"), "text") \
         .union(once.select(*group, "a", "b", F.lit(None).cast("string"))) \
@@ -428,7 +429,7 @@ def all_verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int,
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    return cut(met.mapInArrow(run, "a long, b long"))
+    return cut_clean(met.mapInArrow(run, "a long, b long"))
 
 
 def bucketed(docs: DataFrame, width: int, limit: tuple[int, int], kept: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -437,10 +438,10 @@ def bucketed(docs: DataFrame, width: int, limit: tuple[int, int], kept: bool = F
     The index is read twice. ``kept``, it is written with the documents, once: less time, and about as much disk as the texts take.
     """
     plan = banded(docs, limit)
-    whole = cut(sets(docs, width, limit, plan if kept else None))
+    whole = cut_clean(sets(docs, width, limit, plan if kept else None))
     own = whole.where("h is not null").groupBy("h").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"),
                                                        F.first("sketch").alias("sketch"))
-    own = cut(own)
+    own = cut_clean(own)
     index = whole.select(F.explode("keys").alias("key"), "h") if kept else entries(docs, width, limit, plan)
     # written apart, so that the exchange of all entries is gone from the disks before they are exchanged again
     heads = cut_clean(index.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
@@ -460,7 +461,7 @@ def links(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT)
 
 
 def with_roots(whole: DataFrame, pairs: DataFrame) -> DataFrame:
-    roots = cut(components(pairs))
+    roots = cut_clean(components(pairs))
     return whole.select("doc_id", "text_key", "n", "h").join(roots.withColumnRenamed("node", "h"), "h", "left") \
         .withColumn("root", F.coalesce("root", "h"))
 
@@ -471,10 +472,15 @@ def rooted(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
     Components only: pairs that are connected already are not compared, so most links of a family are never looked for.
     """
     whole, own, members = bucketed(docs, width, limit)
-    stars = cut(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
+    stars = cut_clean(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
     found = verified(stars, own, docs, width, limit)
     left = still_apart(members.drop("lo"), found)
-    rest = apart_pairs(left, own, limit).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    near = None
+    for i in range(SHARES):  # sets are moved to a share of the keys at a time, as each is moved with its sketch to every bucket it is in
+        some = left.where(F.pmod(F.xxhash64("key"), F.lit(SHARES)) == i)
+        pairs = cut_clean(apart_pairs(some, own, limit).select("a", "b").distinct())
+        near = pairs if near is None else near.union(pairs)
+    rest = near.distinct().join(stars, ["a", "b"], "left_anti")
     return with_roots(whole, found.union(verified(rest, own, docs, width, limit)))
 
 
@@ -502,7 +508,7 @@ def one_of_each(docs: DataFrame, width: int = 5, limit: tuple[int, int] = (4, 5)
     Ids that are null come last; of texts with that id, the one with the smallest hash stays. Of equal rows one stays. Documents
     without words are no duplicates of anything and stay.
     """
-    placed = cut(rooted(docs, width, limit).where("root is not null").select("root", "doc_id", "text_key").distinct())
+    placed = cut_clean(rooted(docs, width, limit).where("root is not null").select("root", "doc_id", "text_key").distinct())
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
     first = placed.groupBy("root").agg(F.min(rank).alias("first"))
     gone = placed.join(first, "root").where(rank != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
