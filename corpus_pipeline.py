@@ -8,24 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabmill.llm import langid, leaks, mixing, setjoin, tokenfile
-from tabmill.llm.common import table
+from tabmill.llm.common import batched, table
 from tabmill.llm.queries import tokenizer_spec
 from tabmill.session import cut
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which one learned language makes up half or more."""
-    return langid.accepted(docs)
+    return langid.accepted(batched(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return setjoin.one_of_each(docs)
+    return setjoin.one_of_each(batched(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return leaks.without_leaks(batched(docs), table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in a compressed file, and what reading it back gives for each document."""
-    return tokenfile.encoded_documents(docs, tokenizer_spec())
+    return tokenfile.encoded_documents(batched(docs), tokenizer_spec())
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),

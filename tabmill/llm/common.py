@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WORD = r"[^\x20\x09-\x0D]+"  # what lies between ASCII white space; bytes.split() cuts the same way
+TEXTS = 512  # rows with texts that are Python objects at a time
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))  # A-Z only
 
 
@@ -53,12 +54,20 @@ def per_text(docs: DataFrame, fn: Callable, schema: str, *extra: str) -> DataFra
     return texts(docs, *extra).mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, rows: int = TEXTS) -> Iterator[pa.RecordBatch]:
     """A batch in smaller ones, so that only some texts are Python objects at a time."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
 
+def batched(docs: DataFrame) -> DataFrame:
+    """The same documents; from here on the session's Python workers get ``TEXTS`` rows at a time, as both sides hold a batch whole."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXTS:
+        conf.set(name, str(TEXTS))
+    return docs
+
+
 def arrow_type(name: str) -> pa.DataType:
     if name.startswith("array<"):
         return pa.list_(arrow_type(name[6:-1]))

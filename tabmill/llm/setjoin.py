@@ -6,6 +6,10 @@ sets differs by no more than its threshold. A segment with threshold 0 is indexe
 subset and all subsets with one shingle less. Sets are joined within bands of similar size; how many segments of
 either kind a band has is the cheapest of all sufficient choices for the number of sets in it.
 
+Unrelated sets agree in segments that are empty in both, the more pairs of them the more sets there are. With spare segments two
+linked sets agree in more than one; a set with no more empty segments than it has to spare agrees in one that is not empty,
+whatever it is linked with. Its empty segments are not indexed.
+
 Sets that meet under a key are candidates. Those of a bucket are compared among themselves, in blocks, by parity sketches that
 never exclude a linked pair; what passes is verified on the words. ``links`` gives all linked pairs. ``rooted`` gives components only:
 there all sets of a bucket are first checked against one, and only those still apart after that are compared.
@@ -22,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabmill.llm.common import LOWER, WORD, arrow_type, slices, text_key, texts
+from tabmill.llm.common import LOWER, TEXTS, WORD, arrow_type, slices, text_key, texts
 from tabmill.session import cut
 
 SHINGLE = 4
@@ -30,9 +34,11 @@ LIMIT = (85, 100)      # least similarity, as a fraction
 LARGE = 64             # sets from which a bucket is large
 BLOCK = 512            # sets of a bucket that are compared with as many others at a time
 CHECK_COST = 0.02      # cost of comparing the sketches of two sets of a bucket, in index entries
+MEET_COST = 10         # cost of a set in a bucket of several, in index entries
 DEALS = 4              # parts in which the sets of a block are dealt for the verification of all pairs
 SHARES = 4             # of the keys, whose sets are compared one share after the other where only components are asked for
 WORD_BYTES = 6         # of a text, about: only to guess set sizes for the costs
+ROWS = 10_000          # rows without texts that go to Python at a time
 KNOWN = 200_000        # words of which a worker remembers the hash, and sets whose keys a task has given
 
 # Fixed odd multipliers of a published 64-bit mixer
@@ -120,24 +126,40 @@ def allocation(number: int, sets: int, limit: tuple[int, int]) -> tuple[int, int
     """Segments indexed by subset, those indexed by subset and deletions, and whether empty subsets are refined.
 
     The least of what ``sets`` sets of the band cost: entries per set, and pairs of unrelated sets that agree in a segment as both
-    are empty there. Refined, an empty subset is indexed together with each segment of a second partition, of
-    which two linked sets agree in one as well.
+    are empty there. Subsets that are empty are indexed of sets only that have more of them than segments to spare. Refined,
+    such a subset is indexed together with each segment of a second partition, of which two linked sets agree in one as well.
     """
     top = band_start(number + 1, limit) - 1
     need = apart(2 * top, limit) + 1
-    size = math.sqrt(top * max(1, limit[0] * band_start(number, limit) / limit[1]))
+    low = max(1, limit[0] * band_start(number, limit) // limit[1])
+    sizes = [round(low * (top / low) ** (i / 8)) for i in range(9)]
     choices = []
     for deletions in sorted({round(need / 2 * i / 16) for i in range(17)} | {(need + 1) // 2}):
-        plain = max(0, need - 2 * deletions)
-        mean = size / (plain + deletions)
-        both = deletions * math.exp(-2 * mean) * (1 + 2 * mean)
-        for refined in (False, True):
-            entries = plain + deletions * (1 + mean) + refined * plain * math.exp(-mean) * need
-            chance = plain * math.exp(-2 * mean) * (need * math.exp(-2 * mean) if refined else 1) + both
-            choices.append((entries + CHECK_COST * sets / 2 * min(1.0, chance), plain, deletions, refined))
+        for spare in sorted({round(need * i / 80) for i in range(13)} | set(range(5))):
+            plain = max(0, need - 2 * deletions) + spare
+            filled = many = meet = both = 0.0  # means over sizes of the band
+            for size in sizes:
+                mean = size / (plain + deletions)
+                empty = plain * math.exp(-mean)
+                room = to_spare(size, number, plain, deletions, limit) + 0.5 - empty
+                part = math.erfc(room / math.sqrt(2 * empty)) / 2 if empty else 0.0
+                filled += (plain - empty + deletions * (1 + mean)) / len(sizes)
+                many += part / len(sizes)
+                meet += part * max(empty, empty + room) / len(sizes)
+                both += deletions * math.exp(-2 * mean) * (1 + mean) ** 2 / len(sizes)
+            for refined in (False, True):
+                chance = many ** 2 * min(1.0, (meet / many) ** 2 / plain) * (math.exp(-2 * low / need) if refined else 1) if many else 0.0
+                cost = filled + meet * (need if refined else 1 + MEET_COST) + CHECK_COST * sets / 2 * min(1.0, chance + both)
+                choices.append((cost, plain, deletions, refined))
     return min(choices)[1:]
 
 
+def to_spare(size: int, number: int, plain: int, deletions: int, limit: tuple[int, int]) -> int:
+    """Segments that a set of ``size`` agrees in with any linked one of the band, less one: of those indexed by deletions, one counts as two."""
+    other = min(band_start(number + 1, limit) - 1, size * limit[1] // limit[0])
+    return plain + 2 * deletions - 1 - apart(size + other, limit)
+
+
 def segment_sums(values: np.ndarray, seed: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Segment of each value, the values' mixed forms, and per segment the sum of these and their number."""
     with np.errstate(over="ignore"):
@@ -157,9 +179,13 @@ def index_keys(values: np.ndarray, limit: tuple[int, int], plan: dict[int, tuple
         with np.errstate(over="ignore"):
             tag = mix(np.arange(plain + deletions, dtype=np.uint64) + np.uint64(number) * STEP)
             keys = mix(sums ^ tag)
-            exact = keys[:plain]
-            bare = exact[(counts[:plain] == 0) & refined]
-            out.append(exact[(counts[:plain] > 0) | (not refined)])
+            exact, empty = keys[:plain], counts[:plain] == 0
+            bare = exact[:0]
+            if empty.sum() <= to_spare(len(values), number, plain, deletions, limit):
+                exact = exact[~empty]
+            elif refined:
+                exact, bare = exact[~empty], exact[empty]
+            out.append(exact)
             if len(bare):
                 _, _, again, _ = segment_sums(values, 2 * number + 2, apart(2 * (band_start(number + 1, limit) - 1), limit) + 1)
                 second = mix(again ^ mix(np.arange(len(again), dtype=np.uint64) + STEP))
@@ -236,7 +262,7 @@ def sets(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int, tu
 
 
 def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int, tuple[int, int, bool]]) -> DataFrame:
-    """The index, ``key, h``: made from the texts whenever it is read, as it is several times larger than they are.
+    """The index, ``key, h``, made from the texts.
 
     A task gives the keys of a set once, as long as it remembers the set; what it forgets is only given again.
     """
@@ -262,15 +288,23 @@ def entries(docs: DataFrame, width: int, limit: tuple[int, int], plan: dict[int,
     return docs.select(F.col("text").cast("string").alias("text")).where("text is not null").mapInArrow(run, "key long, h long")
 
 
-def cut_clean(df: DataFrame) -> DataFrame:
-    """Write and go on from what was written; the exchanges of the write are deleted with its end."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name, "false")
-    conf.set(name, "true")
+def cut_clean(df: DataFrame, batch: int | None = None) -> DataFrame:
+    """Write and go on from what was written; the exchanges of the write are deleted with its end.
+
+    ``batch``: rows that go to Python at a time, of which both sides hold a batch whole; else as the session has it.
+    """
+    conf = df.sparkSession.conf
+    now = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch:
+        now["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(batch)
+    before = {name: conf.get(name, None) for name in now}
+    for name, value in now.items():
+        conf.set(name, value)
     try:
         return cut(df)
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def held_texts(needed: DataFrame, own: DataFrame, docs: DataFrame) -> DataFrame:
@@ -291,7 +325,7 @@ def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limi
                     for na, nb, x, y in zip(*[batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")])]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    close = cut_clean(short.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near, "a long, b long"))
+    close = cut_clean(short.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near, "a long, b long"), ROWS)
     held = held_texts(close.select(F.col("a").alias("h")).union(close.select(F.col("b").alias("h"))), own, docs)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +343,7 @@ def verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int, limi
 
     return cut_clean(close.join(held.select(F.col("h").alias("a"), F.col("text").alias("ta")), "a")
                .join(held.select(F.col("h").alias("b"), F.col("text").alias("tb")), "b")
-               .select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"))
+               .select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"), TEXTS)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -402,7 +436,7 @@ def all_verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int,
     """
     deal = F.pmod(F.xxhash64("a"), F.lit(DEALS)) * DEALS + F.pmod(F.xxhash64("b"), F.lit(DEALS))
     group = ["key", "i", "j", "deal"]
-    once = cut_clean(pairs.groupBy("a", "b").agg(F.min(F.struct("key", "i", "j")).alias("g")).select("g.*", deal.alias("deal"), "a", "b"))
+    once = cut_clean(pairs.groupBy("a", "b").agg(F.min(F.struct("key", "i", "j")).alias("g")).select("g.*", deal.alias("deal"), "a", "b"), ROWS)
     ends = once.select(*group, F.col("a").alias("h")).union(once.select(*group, F.col("b").alias("h"))).distinct()
     met = ends.join(held_texts(ends.select("h"), own, docs), "h").select(*group, F.col("h").alias("a"), F.lit(None).cast("long").alias("b"), "text") \
         .union(once.select(*group, "a", "b", F.lit(None).cast("string"))) \
@@ -429,24 +463,51 @@ def all_verified(pairs: DataFrame, own: DataFrame, docs: DataFrame, width: int,
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    return cut_clean(met.mapInArrow(run, "a long, b long"))
+    return cut_clean(met.mapInArrow(run, "a long, b long"), TEXTS)
+
+
+def meeting(index: DataFrame) -> DataFrame:
+    """Of the index ``key, h`` the entries of keys that several sets have, ``key, h, lo``, each once, with the least set of the key.
+
+    All entries are exchanged once, sixteen bytes each; what a task holds of a key is its least set, however many have it.
+    """
+    schema = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("lo", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, least, held = None, None, False  # last entry, the least set of its key, and whether it is the key's only one so far
+        for batch in batches:
+            key, h = (c.to_numpy() for c in batch.columns)
+            if last:
+                key, h = (np.concatenate([[x], c]) for x, c in zip(last, (key, h)))
+            new = np.concatenate([[held or not last], (key[1:] != key[:-1]) | (h[1:] != h[:-1])])
+            key, h = key[new], h[new]
+            if not len(key):
+                continue
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            many = np.diff(np.append(start, len(key)))
+            several, lo = many > 1, h[start]
+            if last and not held and key[0] == last[0]:  # a key of which some entries are given already
+                several[0], lo[0] = True, least
+            given = np.repeat(several, many)
+            if given.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[given]) for x in (key, h, np.repeat(lo, many))], schema=schema)
+            last, least, held = (key[-1], h[-1]), lo[-1], not several[-1]
+
+    return index.repartition("key").sortWithinPartitions("key", "h").mapInArrow(run, "key long, h long, lo long")
 
 
 def bucketed(docs: DataFrame, width: int, limit: tuple[int, int], kept: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents, their distinct sets, and the members ``key, h, lo`` of buckets of several sets, with the least of each.
 
-    The index is read twice. ``kept``, it is written with the documents, once: less time, and about as much disk as the texts take.
+    ``kept``, the index is made in the pass over the texts that makes the sets, and written with the documents: less time, and more disk.
     """
     plan = banded(docs, limit)
-    whole = cut_clean(sets(docs, width, limit, plan if kept else None))
+    whole = cut_clean(sets(docs, width, limit, plan if kept else None), TEXTS)
     own = whole.where("h is not null").groupBy("h").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"),
                                                        F.first("sketch").alias("sketch"))
     own = cut_clean(own)
     index = whole.select(F.explode("keys").alias("key"), "h") if kept else entries(docs, width, limit, plan)
-    # written apart, so that the exchange of all entries is gone from the disks before they are exchanged again
-    heads = cut_clean(index.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key", "lo"))
-    members = cut_clean(index.join(heads, "key").groupBy("key", "h").agg(F.min("lo").alias("lo")))
-    return whole, own, members
+    return whole, own, cut_clean(meeting(index), ROWS if kept else TEXTS)
 
 
 def links(docs: DataFrame, width: int = SHINGLE, limit: tuple[int, int] = LIMIT) -> tuple[DataFrame, DataFrame]:
@@ -471,14 +532,14 @@ def rooted(docs: DataFrame, width: int, limit: tuple[int, int]) -> DataFrame:
 
     Components only: pairs that are connected already are not compared, so most links of a family are never looked for.
     """
-    whole, own, members = bucketed(docs, width, limit)
+    whole, own, members = bucketed(docs, width, limit, kept=True)
     stars = cut_clean(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct())
     found = verified(stars, own, docs, width, limit)
     left = still_apart(members.drop("lo"), found)
     near = None
     for i in range(SHARES):  # sets are moved to a share of the keys at a time, as each is moved with its sketch to every bucket it is in
         some = left.where(F.pmod(F.xxhash64("key"), F.lit(SHARES)) == i)
-        pairs = cut_clean(apart_pairs(some, own, limit).select("a", "b").distinct())
+        pairs = cut_clean(apart_pairs(some, own, limit).select("a", "b").distinct(), ROWS)
         near = pairs if near is None else near.union(pairs)
     rest = near.distinct().join(stars, ["a", "b"], "left_anti")
     return with_roots(whole, found.union(verified(rest, own, docs, width, limit)))

@@ -195,6 +195,62 @@ def test_deletion_segments_lose_no_link():
                     assert np.bitwise_count(x ^ y).sum() <= setjoin.apart(2 * size, limit)
 
 
+@pytest.mark.parametrize("limit", [(85, 100), (4, 5)])
+def test_spare_segments_lose_no_link(limit):
+    rnd = np.random.default_rng(5)
+    plans = [{n: setjoin.allocation(n, sets, limit) for n in range(16)} for sets in (1, 10**4, 10**7)]
+    plans += [{n: (p + spare, d, r) for n, (p, d, r) in plans[0].items()} for spare in (1, 3, 40) for r in (False, True)]
+    for size in (1, 2, 5, 9, 20, 45, 61, 72, 150, 277):
+        for _ in range(12):
+            most = limit[1] * size // limit[0] - size if rnd.random() < 0.5 else setjoin.apart(2 * size, limit) // 2
+            a = rnd.integers(0, 2**63, size).astype(np.uint64)
+            less = 0 if most > setjoin.apart(2 * size, limit) // 2 else most  # one set in the other, or as large as it
+            b = np.concatenate([a[less:], rnd.integers(0, 2**63, most).astype(np.uint64)])
+            both = size - less
+            assert limit[1] * both >= limit[0] * (size + len(b) - both)
+            for plan in plans:
+                assert set(setjoin.index_keys(a, limit, plan)) & set(setjoin.index_keys(b, limit, plan))
+
+
+def test_unrelated_sets_do_not_meet_in_empty_segments():
+    """Of unrelated sets of a band few meet, however many there are."""
+    rnd = np.random.default_rng(6)
+    for number, sets in ((8, 1000), (9, 1000), (12, 300)):
+        plan = {n: setjoin.allocation(n, sets, (4, 5)) for n in (number - 1, number, number + 1)}
+        low, high = (setjoin.band_start(n, (4, 5)) for n in (number, number + 1))
+        holds = {}
+        for i in range(sets):
+            for key in setjoin.index_keys(rnd.integers(0, 2**63, rnd.integers(low, high)).astype(np.uint64), (4, 5), plan):
+                holds.setdefault(key, []).append(i)
+        assert sum(len(x) * (len(x) - 1) // 2 for x in holds.values()) < sets
+
+
+def test_keys_of_several_sets_are_found_in_any_batches(spark):
+    """Each entry of a key with several sets comes once, with the least of them, wherever batches begin."""
+    rnd = random.Random(8)
+    index = [(rnd.choice((-3, 0, 4, 7, rnd.randrange(40), 10 + i)), rnd.randrange(-9, 9)) for i in range(300)] + [(0, h) for h in range(-50, 50)]
+    own = {}
+    for key, h in index:
+        own.setdefault(key, set()).add(h)
+    want = sorted((key, h, min(hs)) for key, hs in own.items() if len(hs) > 1 for h in hs)
+    given = spark.createDataFrame(index, "key long, h long")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows in ("1", "2", "7", "1000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            assert sorted(map(tuple, setjoin.meeting(given).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert setjoin.meeting(given.limit(0)).count() == 0
+
+
+def test_components_are_found_with_the_texts_read_once(spark, monkeypatch):
+    """The keys of all sets come from one pass over the texts."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2}x{k}" for k in range(60 - i % 2))) for i in range(20)], "doc_id long, text string")
+    monkeypatch.setattr(setjoin, "entries", lambda *a: pytest.fail("the index is made from the texts again"))
+    assert setjoin.rooted(docs, 5, (4, 5)).select("root").distinct().count() == 10
+
+
 def test_one_of_each_keeps_whole_rows(docs):
     got = setjoin.one_of_each(docs)
     ids = sorted(r.doc_id for r in got.where("doc_id is not null").collect())
